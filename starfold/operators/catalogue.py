@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import not_null
 from ..functions.text import stripped
-from ..session import durable
 from .dense_ids import dense_ids
 from .joins import known_small, left_with_nulls_spread
 
@@ -75,18 +74,25 @@ class Feed:
 
 
 class Catalogue:
-    """Assignments ``(catalogue, value, id)`` and the measured bytes of each part."""
-
-    def __init__(self, assigned: DataFrame, fresh: bool = False) -> None:
+    """Assignments ``(catalogue, value, id)`` and the measured bytes of each catalogue."""
+
+    def __init__(
+        self,
+        assigned: DataFrame,
+        sizes: Mapping[str, int],
+        fresh: bool = False,
+        parts: Mapping[str, DataFrame] | None = None,
+    ) -> None:
+        self.assigned = assigned
+        self._parts = parts
+        self.sizes = dict(sizes)
         # Fresh: collected from the very documents it is used on.
         self.fresh = fresh
-        self.assigned = assigned
-        size = F.sum(F.octet_length("value").cast("bigint") + 32).alias("n")
-        # At most one row per configured catalogue comes back.
-        self._bytes = {r["catalogue"]: r["n"] for r in assigned.groupBy("catalogue").agg(size).collect()}
         self._limit = known_small(assigned.sparkSession)
 
     def part(self, name: str) -> DataFrame:
+        if self._parts is not None:
+            return self._parts[name].select("value", "id")
         return self.assigned.where(F.col("catalogue") == name).select("value", "id")
 
     def table(self, name: str) -> DataFrame:
@@ -100,7 +106,7 @@ class Catalogue:
         key = f"_key_{out}"
         side = self.part(name).select(F.col("value").alias(key), F.col("id").alias(out))
         value = CATALOGUES[name].cleaned(value)
-        if self._bytes.get(name, 0) <= self._limit:
+        if self.sizes.get(name, 0) <= self._limit:
             return df.join(F.broadcast(side), value == F.col(key), "left").drop(key)
         return left_with_nulls_spread(df, value, side, key)
 
@@ -137,8 +143,9 @@ def values_of(
 def collect(
     docs: Mapping[str, DataFrame], feeds: Iterable[Feed], names: Iterable[str] | None = None
 ) -> Catalogue:
-    """Collect and number the values; the result is written once and read by all lookups."""
-    return Catalogue(durable(dense_ids(values_of(docs, feeds, names))), fresh=True)
+    """Collect and number the values."""
+    assigned, sizes = dense_ids(values_of(docs, feeds, names))
+    return Catalogue(assigned, sizes, fresh=True)
 
 
 def missing(values: DataFrame, catalogue: Catalogue) -> DataFrame:

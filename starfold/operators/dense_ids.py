@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,14 +16,16 @@ def casefold(texts: pd.Series) -> pd.Series:
     return texts.str.casefold()
 
 
-def dense_ids(values: DataFrame, group: str = "catalogue", value: str = "value") -> DataFrame:
-    """``(group, value, id)`` with ids 1..n inside each group, for distinct rows.
+def dense_ids(
+    values: DataFrame, group: str = "catalogue", value: str = "value"
+) -> tuple[DataFrame, dict[str, int]]:
+    """``(group, value, id)`` with ids 1..n inside each group, for distinct rows;
+    and the bytes of text in each group.
 
     No task sees all values: a range shuffle cuts the sorted order into even
-    pieces wherever the values fall, each row is numbered inside its piece, and
-    the pieces' sizes - one row per piece and group - give the offsets.  The
-    numbered pieces are written down first, so that sizes and rows agree even
-    when tasks are run again.
+    pieces wherever the values fall, and each row is numbered inside its piece.
+    The pieces are written down before they are measured, so that sizes and rows
+    agree even when tasks are run again.
     """
     order = [group, "_fold", value]
     pieces = durable(
@@ -37,14 +39,26 @@ def dense_ids(values: DataFrame, group: str = "catalogue", value: str = "value")
             F.monotonically_increasing_id().alias("_row"),
         )
     )
-    sizes = pieces.groupBy(group, "_piece").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first")
+    # One row per piece and group comes back: as many as partitions, whatever the data.
+    sizes = (
+        pieces.groupBy(group, "_piece")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("_row").alias("first"),
+            F.sum(F.octet_length(value).cast("bigint") + 32).alias("bytes"),
+        )
+        .orderBy(group, "_piece")
+        .collect()
     )
-    earlier = Window.partitionBy(group).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        group, "_piece", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift")
+    shifts, total, size = [], {}, {}
+    for s in sizes:
+        shifts.append((s[group], s["_piece"], total.get(s[group], 0) - s["first"] + 1))
+        total[s[group]] = total.get(s[group], 0) + s["n"]
+        size[s[group]] = size.get(s[group], 0) + s["bytes"]
+    offsets = values.sparkSession.createDataFrame(
+        shifts, T.StructType([pieces.schema[group], pieces.schema["_piece"], T.StructField("_shift", T.LongType())])
     )
-    # One row per piece and group: bounded by partitions + groups, not by the data.
-    return pieces.join(F.broadcast(offsets), [group, "_piece"]).select(
-        group, value, (F.col("_row") + F.col("_shift")).cast("bigint").alias("id")
+    ids = pieces.join(F.broadcast(offsets), [group, "_piece"]).select(
+        group, value, (F.col("_row") + F.col("_shift")).alias("id")
     )
+    return ids, size

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,3 +47,10 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(2 * cores)
+
+
+def at_once(act: Callable, items: Iterable, threads: int = 4) -> list:
+    """Run independent Spark actions side by side, so that the last tasks of one
+    leave no cores idle; results in the order of ``items``."""
+    with ThreadPoolExecutor(max(1, threads)) as pool:
+        return list(pool.map(act, items))

@@ -3,7 +3,10 @@ document per line (S1-S6, S10)."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +16,7 @@ from ..functions import text as X
 from ..operators.joins import drop_listed, known_small
 
 _ROW_BITS = 33
+_SCHEME = "^([A-Za-z0-9+.-]+):/+"
 _LINES = "value string, _partition string, _ord bigint"
 
 
@@ -22,11 +26,17 @@ def chosen_entities(requested: Iterable[str]) -> list[str]:
     return list(ENTITIES) if "all" in names else names
 
 
-def _listing(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder)
+def _one_slash(path: str) -> str:
+    """Spark writes one path as ``file:/x`` or ``file:///x``, depending on who asks."""
+    return re.sub(_SCHEME, r"\1:/", path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _scan_key(path: str) -> list[str]:
+    """Partition first, then file name."""
+    return [unquote(p) for p in path.rsplit("/", 2)]
+
+
+def exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
@@ -46,25 +56,28 @@ def scan(
     the task grows with the line; the file's rank goes in front of it.
     """
     folder = f"{root.rstrip('/')}/{entity}"
-    if not _exists(spark, folder):
-        return spark.createDataFrame([], _LINES)
+    nothing = spark.createDataFrame([], _LINES)
+    if not exists(spark, folder):
+        return nothing
+    if updated_dates is None:
+        parts = [f"{folder}/updated_date=*"]
+    else:
+        # Only the wanted partitions are listed; absent ones are passed over.
+        wanted = [f"{folder}/updated_date={d}" for d in sorted(set(updated_dates))]
+        parts = [p for p in wanted if exists(spark, p)]
     reader = (
-        spark.read.option("recursiveFileLookup", "false")
-        .option("pathGlobFilter", "*.gz")
-        .option("basePath", folder)
+        spark.read.option("pathGlobFilter", "*.gz").option("basePath", folder)
         .schema("value string, updated_date string")
     )
-    lines = reader.text(f"{folder}/updated_date=*")
-    if updated_dates is not None:
-        lines = lines.where(F.col("updated_date").isin(sorted(set(updated_dates))))
-
     # The file listing is metadata the driver holds already to plan the scan.
-    files = sorted(lines.inputFiles())
+    files = sorted(reader.text(parts).inputFiles(), key=_scan_key) if parts else []
     if max_files:
         files = files[:max_files]
-        lines = reader.text(files) if files else lines.where(F.lit(False))
+    if not files:
+        return nothing
+    lines = reader.text(files if max_files else parts)
     ranks = spark.createDataFrame(
-        [(path, i) for i, path in enumerate(files)], "_path string, _file bigint"
+        [(_one_slash(path), i) for i, path in enumerate(files)], "_path string, _file bigint"
     )
     if sum(map(len, files)) <= known_small(spark):
         ranks = F.broadcast(ranks)
@@ -72,24 +85,46 @@ def scan(
     numbered = lines.select(
         "value",
         F.col("updated_date").alias("_partition"),
-        F.col("_metadata.file_path").alias("_path"),
+        F.regexp_replace("_metadata.file_path", _SCHEME, "$1:/").alias("_path"),
         F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias("_row"),
     )
     ordered = numbered.join(ranks, "_path").select(
         "value", "_partition", (F.shiftleft("_file", _ROW_BITS) + F.col("_row")).alias("_ord")
     )
-    if max_records and max_records > 0:
+    capped = bool(max_records and max_records > 0)
+    if capped:
         ordered = ordered.orderBy("_ord").limit(max_records)
-    return ordered
+    # A gzip file is one task; few big files are shared out before the costly
+    # parsing, while many files stay where they are and no text is moved.
+    cores = spark.sparkContext.defaultParallelism
+    return ordered.repartition(2 * cores) if capped or len(files) < cores else ordered
 
 
 def merged_ids(spark: SparkSession, root: str, entity: str) -> DataFrame | None:
     """Short ids of records merged into others, from the snapshot or its parent."""
     parent = root.rstrip("/").rsplit("/", 1)[0]
-    base = next((p for p in (f"{root.rstrip('/')}/merged_ids", f"{parent}/merged_ids") if _exists(spark, p)), None)
-    if base is None or not _exists(spark, f"{base}/{entity}"):
+    base = next((p for p in (f"{root.rstrip('/')}/merged_ids", f"{parent}/merged_ids") if exists(spark, p)), None)
+    if base is None or not exists(spark, f"{base}/{entity}"):
+        return None
+    # Files may differ in their columns; those with one header are read together.
+    lines = spark.read.option("recursiveFileLookup", "true").text(f"{base}/{entity}")
+    placed = lines.select(
+        "value",
+        F.col("_metadata.file_path").alias("path"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
+    )
+    headers = placed.groupBy("path").agg(F.min_by("value", "place").alias("header"))
+    alike: dict[str, list[str]] = {}
+    for r in headers.collect():  # one row per file
+        alike.setdefault(r["header"], []).append(unquote(r["path"]))
+    reads = [
+        spark.read.option("header", True).csv(paths).select("id")
+        for header, paths in alike.items()
+        if "id" in [name.strip('"') for name in header.split(",")]
+    ]
+    if not reads:
         return None
-    rows = spark.read.option("header", True).option("recursiveFileLookup", "true").csv(f"{base}/{entity}")
+    rows = reduce(DataFrame.unionByName, reads)
     ids = rows.select(X.short_id(F.col("id")).alias("_short"))
     return ids.where(F.col("_short").isNotNull()).distinct()
 
