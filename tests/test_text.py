@@ -25,7 +25,7 @@ CASES = {
         ("2024-01-05T10:11:12Z", D(2024, 1, 5)), ("2024-1-5", D(2024, 1, 5)), ("2024-01-05T1:2:3.5", D(2024, 1, 5)),
         ("2024", None), ("soon", None), ("2024-02-30", None), ("", None)]),
     "whole_number": (X.whole_number, [(" 12 ", 12), ("12.7", None), ("-3", -3), ("", None), ("x", None)]),
-    "decimal_number": (X.decimal_number, [("1.5", 1.5), (" 2 ", 2.0), ("x", None), ("1e2", 100.0)]),
+    "decimal_number": (X.decimal_number, [("1.5", 1.5), (" 2 ", 2.0), ("x", None), ("1e2", 100.0), ("1d", None), ("-.5", -0.5), ("3.", 3.0)]),
     "flag": (X.flag, [
         ("TRUE", True), (" t ", True), ("1", True), ("Yes", True), ("y", True), ("false", False), ("F", False),
         ("0", False), ("no", False), ("N", False), ("maybe", None), ("", None), (None, None)]),
@@ -67,7 +67,7 @@ def test_scalar(spark, name):
 
 def test_number_forms(spark):
     row = spark.range(1).select(
-        X.whole_number(F.lit(12.7)).alias("a"), X.flag_of_number(F.lit(2)).alias("b"),
+        X.whole_of_number(F.lit(12.7)).alias("a"), X.flag_of_number(F.lit(2)).alias("b"),
         X.flag_of_number(F.lit(0.0)).alias("c"), X.map_text(F.create_map(F.lit("k"), F.lit(" v ")), "k").alias("d"),
         X.map_text(F.create_map(F.lit("k"), F.lit(" v ")), "z").alias("e"),
     ).first()

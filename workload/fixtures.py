@@ -441,20 +441,32 @@ def _struct(fields: dict[str, str]) -> str:
     return "named_struct(" + ", ".join(f"'{n}', {e}" for n, e in fields.items()) + ")"
 
 
-def lines(spark: SparkSession, sf_dir: str, entity: str, authorships: str = AUTHORSHIPS) -> DataFrame:
-    """The entity's documents as JSON text in ``value``, with scan order ``_ord``."""
+def lines(
+    spark: SparkSession,
+    sf_dir: str,
+    entity: str,
+    authorships: str = AUTHORSHIPS,
+    fields_wanted: set[str] | None = None,
+) -> DataFrame:
+    """The entity's documents as JSON text in ``value``, with scan order ``_ord``;
+    whole, or with no more than the wanted fields."""
     f = FIXTURES[entity]
-    fields = {"id": record_id(f.letter), **f.fields}
-    for name, (given, inner) in f.objects.items():
+
+    def wanted(named: dict) -> dict:
+        return {n: v for n, v in named.items() if fields_wanted is None or n in fields_wanted}
+
+    fields = {"id": record_id(f.letter), **wanted(f.fields)}
+    for name, (given, inner) in wanted(f.objects).items():
         fields[name] = f"CASE WHEN {given} THEN {_struct(inner)} END"
-    for name, c in f.children.items():
+    for name, c in wanted(f.children).items():
         element = c.text or _struct(c.fields)
         fields[name] = f"slice(transform(sequence(1, {MOST}), i -> {element}), 1, CAST({c.count} AS INT))"
-    body = f"to_json({_struct(fields)})".replace(DAY, spark_day(f))
     spliced = "".join(
         f"""coalesce('"{name}":' || ({authorships if name == 'authorships' else text}) || ',', '') || """
-        for name, text in f.spliced.items()
+        for name, text in wanted(f.spliced).items()
     )
+    # A field that is never null, so that a comma always fits.
+    fields["origin"] = f"'{f.source}'"
+    body = f"to_json({_struct(fields)})".replace(DAY, spark_day(f))
     rows = spread(spark.read.parquet(f"{sf_dir}/{f.source}.parquet").withColumnRenamed(f.key, "k"))
-    # Every document has its last-updated text, so a comma always fits.
     return rows.selectExpr("k AS _ord", f"'{{' || {spliced} substr({body}, 2) AS value")

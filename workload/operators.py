@@ -154,7 +154,7 @@ def casts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "WHEN 6 THEN 'f' WHEN 7 THEN '0' WHEN 8 THEN 'No' WHEN 9 THEN 'n' WHEN 10 THEN 'on' END"
     )
     return read(spark, sf_dir, "customer").select(
-        "c_custkey", X.whole_number(number).alias("whole"), X.whole_number(C("c_acctbal")).alias("of_number"),
+        "c_custkey", X.whole_number(number).alias("whole"), X.whole_of_number(C("c_acctbal")).alias("of_number"),
         X.decimal_number(number).alias("decimal"), X.flag(word).cast("int").alias("flag"),
         X.flag_of_number(C("c_custkey") % 3).cast("int").alias("flag_of_number"),
     )
