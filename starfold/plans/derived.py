@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions.arrays import let, not_null, numbered
 from ..operators.catalogue import Catalogue
+from ..session import durable
 from .tables import table
 from .works import WORK_ID, author_name, location, title, work_doi
 
@@ -25,8 +26,9 @@ def citations(docs: DataFrame) -> DataFrame:
 
     Year and author ids of the citing work come from its own document, those of
     the cited work from one join on its id; no pairs of authors are formed.
-    References without an id are spread over all tasks, and a work cited very
-    often is split by the skew handling of adaptive execution.
+    References without an id are spread over all tasks.  A work cited very often
+    is split by the skew handling of adaptive execution, which needs both sides
+    to come straight from a shuffle: the cited side is written down first.
     """
     year = X.whole_number(C("publication_year"))
     keep = [C("_id").alias("citing_work_id"), year.alias("pub_year"), _author_ids().alias("_citing_authors")]
@@ -38,8 +40,10 @@ def citations(docs: DataFrame) -> DataFrame:
     share = F.pmod(F.xxhash64("citing_work_id", "reference_seq"), F.lit(1 << 10))
     references = references.withColumn("_key", F.coalesce(C("cited_work_id"), -1 - share))
     # A work delivered twice must not double the references to it.
-    cited = docs.groupBy(C("_id").alias("_cited")).agg(
-        F.min_by(F.struct(year.alias("year"), _author_ids().alias("authors")), "_ord").alias("_other")
+    cited = durable(
+        docs.groupBy(C("_id").alias("_cited")).agg(
+            F.min_by(F.struct(year.alias("year"), _author_ids().alias("authors")), "_ord").alias("_other")
+        )
     )
     both = references.join(cited, C("_key") == C("_cited"), "left")
     return both.select(
