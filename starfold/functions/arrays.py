@@ -54,8 +54,8 @@ def first_positions(array: Column) -> Column:
         lambda e: e["item"].isNotNull() & (e["item"] != ""),
     )
     return let(
-        F.array_sort(placed),
-        lambda s: F.filter(s, lambda e, j: (j == 0) | (F.get(s, j - 1)["item"] != e["item"])),
+        F.sort_array(placed),
+        lambda s: F.filter(s, lambda e, j: F.coalesce(F.get(s, j - 1)["item"] != e["item"], F.lit(True))),
     )
 
 
@@ -88,9 +88,7 @@ def text_from_positions(index: Column) -> Column:
         )
     )
     winners = let(
-        F.array_sort(placed),
-        lambda s: F.filter(
-            s, lambda e, j: F.get(s, j + 1).isNull() | (F.get(s, j + 1)["pos"] != e["pos"])
-        ),
+        F.sort_array(placed),
+        lambda s: F.filter(s, lambda e, j: F.coalesce(F.get(s, j + 1)["pos"] != e["pos"], F.lit(True))),
     )
     return F.array_join(F.transform(winners, lambda e: e["token"]), " ")

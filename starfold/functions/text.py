@@ -12,17 +12,23 @@ from ..fixed import DOI_URL_PREFIX, ID_URL_PREFIX, WHITE_SPACE
 
 # Runs of white space other than one plain space, which may stay as it is.  Java's
 # Unicode class lacks the four separators 1c-1f.
+_ID_PREFIX = "^" + ID_URL_PREFIX.replace(".", r"\.")
+_ANY_SPACE = r"[\s\x1c-\x1f]*"
 _SPACES = r"(?U)[\s\x1c-\x1f&&[^ ]][\s\x1c-\x1f]*| [\s\x1c-\x1f]+"
 
 
 def strip(c: Column) -> Column:
-    """Remove white space, Unicode's included, from both ends.
+    """Remove white space, Unicode's included, from both ends."""
+    return F.trim(c, F.lit(WHITE_SPACE))
 
-    Most texts start and end with a visible ASCII character; a look at both ends
-    spares them the slower trimming.
+
+def only_group(c: Column, pattern: str) -> Column:
+    """The group of a pattern, null without a match.
+
+    Mentions ``c`` once: inside lambdas Spark shares nothing, so an expression
+    mentioned twice is computed twice.
     """
-    clean = F.substring(c, 1, 1).between("!", "~") & F.substring(c, -1, 1).between("!", "~")
-    return F.when(clean, c).otherwise(F.trim(c, F.lit(WHITE_SPACE)))
+    return F.get(F.regexp_extract_all(c, F.lit(pattern), 1), 0)
 
 
 def filled(c: Column) -> Column:
@@ -30,10 +36,6 @@ def filled(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
-def stripped(c: Column) -> Column:
-    return filled(strip(c))
-
-
 def first_filled(*cs: Column) -> Column:
     """the first value that is neither null nor empty."""
     return F.coalesce(*[filled(c) for c in cs])
@@ -44,23 +46,29 @@ def first_filled_array(*cs: Column) -> Column:
     return F.coalesce(*[F.when(F.size(c) > 0, c) for c in cs])
 
 
+def spaced_once(c: Column) -> Column:
+    """X16 for lists that drop empty texts anyway: blank becomes empty."""
+    return F.trim(F.regexp_replace(c, _SPACES, " "))
+
+
 def collapse_spaces(c: Column) -> Column:
     """Every run of white space becomes one space; blank becomes null."""
-    return filled(F.trim(F.regexp_replace(c, _SPACES, " ")))
+    return filled(spaced_once(c))
 
 
 # Casting a text that is no number raises and catches inside Spark, at twenty
 # times the cost of a cast that works; these patterns keep such texts away.
-_WHOLE = "^[+-]?[0-9]+$"
-_DECIMAL = r"(?i)^[+-]?((([0-9]+\.?[0-9]*)|(\.[0-9]+))(e[+-]?[0-9]+)?|nan|inf(inity)?)$"
+_WHOLE = f"(?U)^{_ANY_SPACE}([+-]?[0-9]+){_ANY_SPACE}$"
+_DECIMAL = (
+    rf"(?iU)^{_ANY_SPACE}([+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?|nan|inf(?:inity)?)){_ANY_SPACE}$"
+)
 _DATE = "[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
 _TIME = r"[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}(\.[0-9]{1,6})?"
 
 
 def whole_number(c: Column) -> Column:
     """X6 on text: integer or null; ``'12.7'`` is null."""
-    s = strip(c)
-    return F.when(s.rlike(_WHOLE), s).try_cast("bigint")
+    return only_group(c, _WHOLE).try_cast("bigint")
 
 
 def whole_of_number(c: Column) -> Column:
@@ -70,8 +78,7 @@ def whole_of_number(c: Column) -> Column:
 
 def decimal_number(c: Column) -> Column:
     """X7."""
-    s = strip(c)
-    return F.when(s.rlike(_DECIMAL), s).try_cast("double")
+    return only_group(c, _DECIMAL).try_cast("double")
 
 
 # The words that stand for yes and no.
@@ -81,8 +88,8 @@ _NO = ("false", "f", "0", "no", "n")
 
 def flag(c: Column) -> Column:
     """X10 on text: ten words in any case, anything else is null."""
-    word = F.lower(strip(c))
-    return F.when(word.isin(*_YES), F.lit(True)).when(word.isin(*_NO), F.lit(False))
+    meaning = [F.lit(x) for words, sense in ((_YES, True), (_NO, False)) for w in words for x in (w, sense)]
+    return F.try_element_at(F.create_map(*meaning), F.lower(strip(c)))
 
 
 def flag_of_number(c: Column) -> Column:
@@ -92,20 +99,18 @@ def flag_of_number(c: Column) -> Column:
 
 def short_id(c: Column) -> Column:
     """The id without its address prefix."""
-    s = strip(c)
-    return filled(
-        F.when(s.startswith(ID_URL_PREFIX), F.substring(s, len(ID_URL_PREFIX) + 1, 1 << 20)).otherwise(s)
-    )
+    return filled(F.regexp_replace(strip(c), _ID_PREFIX, ""))
 
 
 def id_number(c: Column) -> Column:
     """The digits that end a short id; a tail that is no number gives null."""
-    return filled(F.regexp_extract(short_id(c), "^[^0-9]*([0-9]+)$", 1)).try_cast("bigint")
+    # The address prefix has no digits, so it need not be removed first.
+    return only_group(c, f"(?U)^[^0-9]*([0-9]+){_ANY_SPACE}$").try_cast("bigint")
 
 
 def map_text(m: Column, key: str) -> Column:
     """Null-safe lookup in a map of texts."""
-    return stripped(F.try_element_at(m, F.lit(key)))
+    return filled(strip(F.try_element_at(m, F.lit(key))))
 
 
 def iso_date_text(c: Column) -> Column:
@@ -149,7 +154,7 @@ def last_segment(c: Column) -> Column:
 
 def segment_number(c: Column) -> Column:
     """The last path segment as an integer."""
-    return whole_number(last_segment(c))
+    return whole_number(F.substring_index(F.rtrim(strip(c), F.lit("/")), "/", -1))
 
 
 def orcid(c: Column) -> Column:
@@ -216,8 +221,10 @@ def canonical_object(c: Column) -> Column:
 def affiliation_texts(many: Column, one: Column) -> Column:
     """The cleaned list; when that is empty, the single text split at ``;``."""
     def clean(texts: Column) -> Column:
-        return F.filter(F.transform(texts, collapse_spaces), lambda t: t.isNotNull())
+        return F.filter(F.transform(texts, spaced_once), lambda t: t.isNotNull() & (t != ""))
 
     listed = clean(F.coalesce(many, F.array().cast("array<string>")))
     parts = clean(F.split(F.coalesce(one, F.lit("")), ";"))
-    return F.when(F.size(listed) > 0, listed).otherwise(parts)
+    return F.get(
+        F.transform(F.array(listed), lambda own: F.when(F.size(own) > 0, own).otherwise(parts)), 0
+    )

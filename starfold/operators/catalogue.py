@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import not_null
-from ..functions.text import stripped
+from ..functions.text import strip
 from .dense_ids import dense_ids
 from .joins import known_small, left_with_nulls_spread
 
@@ -33,9 +33,8 @@ class CatalogueConfig:
         return f"{self.name}.csv" if self.enumeration else f"{self.name}_ids.csv"
 
     def cleaned(self, value: Column) -> Column:
-        if not self.enumeration:
-            return value
-        return F.nullif((self.normalise or stripped)(value), F.lit(""))
+        """The value as it is catalogued; an empty one is in no catalogue."""
+        return (self.normalise or strip)(value) if self.enumeration else value
 
 
 # Names, declared widths and id types of the catalogues.

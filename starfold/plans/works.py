@@ -108,7 +108,7 @@ FEEDS = (
     Feed("raw_affiliation_string", "works", ("authorships",),
          lambda: _elements(known_affiliations(C("authorships")))),
     Feed("raw_author_name", "works", ("authorships",),
-         lambda: _elements(F.transform(C("authorships"), lambda a: X.collapse_spaces(author_name(a))))),
+         lambda: _elements(F.transform(C("authorships"), lambda a: X.spaced_once(author_name(a))))),
 )
 
 
@@ -313,19 +313,28 @@ def work_location(docs: DataFrame, catalogue: Catalogue) -> DataFrame:
     nothing = F.lit("{}")
     keep = [
         _id(),
-        X.canonical_object(F.coalesce(C("primary_location"), nothing)).alias("_primary"),
-        X.canonical_object(F.coalesce(C("best_oa_location"), nothing)).alias("_best"),
+        F.coalesce(C("primary_location"), nothing).alias("_primary"),
+        F.coalesce(C("best_oa_location"), nothing).alias("_best"),
     ]
+
+    def same(other: str) -> Column:
+        # The parser writes objects without spare characters, so equal ones have
+        # equal length, and only then their keys need sorting.
+        return (
+            F.when(C("item") == C(other), F.lit(True))
+            .when(F.octet_length("item") != F.octet_length(other), F.lit(False))
+            .otherwise(X.canonical_object(C("item")) == X.canonical_object(C(other)))
+        )
+
     rows = numbered(docs, keep, C("locations"), "location_seq").select(
-        "work_id", "location_seq", "_primary", "_best",
-        X.canonical_object(C("item")).alias("_same"),
+        "work_id", "location_seq",
+        same("_primary").alias("is_primary_location"),
+        same("_best").alias("is_best_oa_location"),
         location(C("item")).alias("l"),
     )
     version = F.lower(F.coalesce(C("l.version"), F.lit("")))
     rows = rows.select(
-        "work_id", "location_seq",
-        (C("_same") == C("_primary")).alias("is_primary_location"),
-        (C("_same") == C("_best")).alias("is_best_oa_location"),
+        "work_id", "location_seq", "is_primary_location", "is_best_oa_location",
         X.id_number(C("l.source.id")).alias("source_id"),
         C("l.landing_page_url").alias("landing_page_url"),
         C("l.pdf_url").alias("pdf_url"),
@@ -412,9 +421,9 @@ def affiliation_institutions(authorships: Column) -> Column:
     empty = F.array().cast("array<string>")
 
     def link(known: Column, label: Column, institution: Column) -> Column:
-        number = F.array_position(known, label)
-        return F.when(
-            number > 0, F.concat(number.cast("string"), F.lit(":"), X.id_number(institution).cast("string"))
+        return let(
+            F.array_position(known, label),
+            lambda n: F.when(n > 0, F.concat(n.cast("string"), F.lit(":"), X.id_number(institution).cast("string"))),
         )
 
     def explicit(known: Column, a: Column) -> Column:
@@ -422,7 +431,7 @@ def affiliation_institutions(authorships: Column) -> Column:
             F.transform(
                 a["affiliations"],
                 lambda f: let(
-                    X.collapse_spaces(f["raw_affiliation_string"]),
+                    X.spaced_once(f["raw_affiliation_string"]),
                     lambda label: F.transform(
                         F.coalesce(f["institution_ids"], empty), lambda i: link(known, label, i)
                     ),
@@ -443,27 +452,22 @@ def affiliation_institutions(authorships: Column) -> Column:
         )
 
     def fold(texts: Column, known: Column) -> Column:
-        candidates = F.zip_with(
-            authorships,
-            texts,
-            lambda a, own: F.struct(
-                F.coalesce(explicit(known, a), empty).alias("explicit"),
-                F.coalesce(implied(known, a, own), empty).alias("implied"),
-            ),
-        )
+        pairs = F.zip_with(authorships, texts, lambda a, own: F.struct(a.alias("a"), own.alias("texts")))
 
-        def step(found: Column, c: Column) -> Column:
+        def step(found: Column, pair: Column) -> Column:
             def new(links: Column) -> Column:
-                return F.array_except(not_null(links), found)
+                return F.array_except(not_null(F.coalesce(links, empty)), found)
 
+            # The implied links are worked out only where they are needed.
             return let(
-                new(c["explicit"]),
+                new(explicit(known, pair["a"])),
                 lambda fresh: F.concat(
-                    found, F.when(F.size(fresh) > 0, fresh).otherwise(new(c["implied"]))
+                    found,
+                    F.when(F.size(fresh) > 0, fresh).otherwise(new(implied(known, pair["a"], pair["texts"]))),
                 ),
             )
 
-        return F.aggregate(candidates, empty, step)
+        return F.aggregate(pairs, empty, step)
 
     links = let(
         F.transform(authorships, affiliation_texts),
@@ -480,7 +484,7 @@ def affiliation_institutions(authorships: Column) -> Column:
     # Sorted by affiliation, the number of a link is its distance from the
     # affiliation's first link.
     return let(
-        F.array_sort(parted),
+        F.sort_array(parted),
         lambda s: let(
             F.transform(s, lambda e: e["affiliation_seq"]),
             lambda numbers: F.transform(

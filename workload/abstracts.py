@@ -18,7 +18,7 @@ def abstract_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     texts = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     words = F.filter(F.split("text", f"[{WHITE_SPACE}]+"), lambda w: w != "")
-    pairs = F.array_sort(F.transform(words, lambda w, i: F.struct(w.alias("word"), i.alias("place"))))
+    pairs = F.sort_array(F.transform(words, lambda w, i: F.struct(w.alias("word"), i.alias("place"))))
 
     def index(sorted_pairs):
         def starts(p, j):
