@@ -16,7 +16,7 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session without that setting gets a folder of its own; on a
     cluster a machine-local folder would be lost with its executor.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):

@@ -134,6 +134,6 @@ def test_shared_folder_must_be_named_on_a_cluster(spark):
 
     from starfold.session import shared_folder
 
-    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="yarn"))
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="yarn", getCheckpointDir=lambda: None))
     with pytest.raises(ValueError):
         shared_folder(cluster)
