@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starfold.llm import bpe, chat, warc
+from starfold.llm import bpe, chat, minhash, quality_rules, warc
 from starfold.session import shared_folder
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -40,6 +40,16 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, folder, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_rules.train(docs, table(spark, sf_dir, "labels"))
+    return docs.select("doc_id", quality_rules.verdict(F.col("text"), model).alias("v")).select("doc_id", "v.*")
+
+
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def encoded(docs: DataFrame) -> DataFrame:
     """``docs`` with ``ids`` in place of ``text``."""
     ids = bpe.encode(F.coalesce("text", F.lit("")), RANKS, public_tokenizers.PATTERN)
@@ -57,7 +67,8 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op3_chat_formatting": op3_chat_formatting, "op4_warc": op4_warc, "op8_bpe": op8_bpe,
+    "op3_chat_formatting": op3_chat_formatting, "op4_warc": op4_warc,
+    "op5_quality_rules": op5_quality_rules, "op7_minhash": op7_minhash, "op8_bpe": op8_bpe,
 }
 
 _ESCAPE = r"""regexp_replace({0}, '([<\[])(\\*)(/?s>|/?INST\]|</?SYS>>)', '\1\\\2\3', 'g')"""
