@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starfold.llm import bpe, chat, minhash, quality_rules, warc
+from starfold.llm import bpe, chat, line_dedup, minhash, quality_rules, warc
 from starfold.session import shared_folder
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -23,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gone = line_dedup.dropped_lines(table(spark, sf_dir, "documents"))
+    return gone.select("doc_id", F.col("line_no").cast("long").alias("line_no"), "kept_doc_id", F.col("kept_line_no").cast("long").alias("kept_line_no"), "edits")
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
@@ -67,13 +72,33 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op3_chat_formatting": op3_chat_formatting, "op4_warc": op4_warc,
+    "op1_line_dedup": op1_line_dedup, "op3_chat_formatting": op3_chat_formatting, "op4_warc": op4_warc,
     "op5_quality_rules": op5_quality_rules, "op7_minhash": op7_minhash, "op8_bpe": op8_bpe,
 }
 
 _ESCAPE = r"""regexp_replace({0}, '([<\[])(\\*)(/?s>|/?INST\]|</?SYS>>)', '\1\\\2\3', 'g')"""
 
 SQL: dict[str, str] = {
+    "op1_line_dedup": """
+with split as (select doc_id, string_split(text, chr(10)) as lines from documents where doc_id is not null),
+numbered as (select doc_id, lines, unnest(range(1, len(lines) + 1)) as i from split),
+line as (select doc_id, i - 1 as line_no, lines[i] as line from numbered where regexp_matches(lines[i], '[^\\x20\\x09-\\x0D]')),
+firsts as (select line, length(line) as n, min(struct_pack(doc_id := doc_id, line_no := line_no)) as place from line group by line),
+long as (select * from firsts where n >= 20),
+pairs as (
+    select a.line as a, b.line as b, a.place as pa, b.place as pb, a.n as n, b.n - a.n as longer from long a join long b
+    on b.n in (a.n, a.n + 1) and a.line <> b.line and left(a.line, 8) = left(b.line, 8)
+    union
+    select a.line, b.line, a.place, b.place, a.n, b.n - a.n from long a join long b
+    on b.n in (a.n, a.n + 1) and a.line <> b.line and right(a.line, 8) = right(b.line, 8)),
+close as (
+    select * from pairs
+    where len(list_filter(range(1, n + 2), lambda i: left(a, i - 1) = left(b, i - 1) and substr(a, i + 1 - longer) = substr(b, i + 1))) > 0),
+near as (select line, min(kept) as kept from (select b as line, pa as kept from close where pa < pb union all select a, pb from close where pb < pa) group by line)
+select doc_id, line_no, coalesce(near.kept, firsts.place).doc_id as kept_doc_id, coalesce(near.kept, firsts.place).line_no as kept_line_no,
+    case when near.kept is null then 0 else 1 end as edits
+from line join firsts using (line) left join near using (line)
+where near.kept is not null or struct_pack(doc_id := doc_id, line_no := line_no) <> firsts.place""",
     "op3_chat_formatting": f"""
 with turns as (
     select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
