@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starfold.llm import bpe, chat, line_dedup, minhash, quality_rules, warc
+from starfold.llm import bpe, chat, katz, line_dedup, minhash, quality_rules, warc
 from starfold.session import shared_folder
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -51,6 +51,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", quality_rules.verdict(F.col("text"), model).alias("v")).select("doc_id", "v.*")
 
 
+def op6_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = F.crc32(F.col("doc_id").cast("string")) % 10 == 0
+    return katz.score(docs.select("doc_id", "text", held.alias("held")))
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -73,7 +79,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup, "op3_chat_formatting": op3_chat_formatting, "op4_warc": op4_warc,
-    "op5_quality_rules": op5_quality_rules, "op7_minhash": op7_minhash, "op8_bpe": op8_bpe,
+    "op5_quality_rules": op5_quality_rules, "op6_katz": op6_katz, "op7_minhash": op7_minhash, "op8_bpe": op8_bpe,
 }
 
 _ESCAPE = r"""regexp_replace({0}, '([<\[])(\\*)(/?s>|/?INST\]|</?SYS>>)', '\1\\\2\3', 'g')"""
