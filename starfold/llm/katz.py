@@ -41,32 +41,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starfold.llm.counting import LOW, answered, pack, parts_of, small, unpack
 from starfold.llm.words import _MULTIPLIERS, mixed, word_hashes, words_of
 from starfold.session import durable
 
 BLOCK_TOKENS, PART_TOKENS = 6_000_000, 4_000_000
 K, TAIL = 5, 0.1
 END, START = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)  # hashes of the end token and of the first context
-_LOW = np.uint64((1 << 48) - 1)
-
-
-def pack(values: np.ndarray) -> bytes:
-    return zstandard.compress(np.ascontiguousarray(values).tobytes(), 3)
-
-
-def unpack(raw: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(bytes(raw)), kind)
-
-
-def small(values: np.ndarray) -> np.ndarray:
-    """Counts in the narrowest unsigned type."""
-    return values.astype(np.min_scalar_type(int(values.max(initial=0))))
-
-
-def parts_of(keys: np.ndarray, parts: int) -> np.ndarray:
-    """Where each part begins and ends in sorted 64-bit ``keys``."""
-    limits = [(i << 64) // parts for i in range(1, parts)]
-    return np.concatenate([[0], np.searchsorted(keys, np.array(limits, np.uint64)), [len(keys)]]).astype(np.int64)
 
 
 def blocks(docs: DataFrame, tokens: int = BLOCK_TOKENS) -> DataFrame:
@@ -147,7 +128,7 @@ def asked(packed: DataFrame, pairs: bool, parts: int) -> DataFrame:
                 keys, inverse = (b.vocabulary, b.word) if not pairs else b.pairs()[::2]
                 counts = np.bincount(inverse, b.training(), len(keys)).astype(np.uint64)
                 edges = parts_of(keys, parts)
-                low = (keys & _LOW).view(np.uint8).reshape(-1, 8)[:, :6]
+                low = (keys & LOW).view(np.uint8).reshape(-1, 8)[:, :6]
                 out = [
                     {"part": p, "block": row["block"], "keys": pack(low[i:j]) if pairs else pack(keys[i:j]), "counts": pack(small(counts[i:j]))}
                     for p, (i, j) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if i < j
@@ -157,36 +138,6 @@ def asked(packed: DataFrame, pairs: bool, parts: int) -> DataFrame:
     return packed.mapInPandas(ask, "part int, block string, keys binary, counts binary")
 
 
-def answered(requests: DataFrame, pairs: bool) -> DataFrame:
-    """Totals for every request, aligned with its keys, and which keys it owns; in the
-    rows without a block, the number of keys with each count up to K + 1, of all keys,
-    and of all tokens of the part."""
-
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
-        raw = [unpack(k, "uint8").reshape(-1, 6 if pairs else 8) for k in rows["keys"]]
-        keys = np.zeros((sum(map(len, raw)), 8), np.uint8)
-        keys[:, :6 if pairs else 8] = np.concatenate(raw)
-        found, first, inverse = np.unique(keys.view(np.uint64).ravel(), return_index=True, return_inverse=True)
-        ends = np.cumsum([len(r) for r in raw])
-        counts = []
-        for r, c in zip(raw, rows["counts"], strict=True):
-            plain = zstandard.decompress(bytes(c))
-            counts.append(np.frombuffer(plain, f"u{len(plain) // len(r)}").astype(np.float64))
-        totals = np.bincount(inverse, np.concatenate(counts), len(found)).astype(np.uint64)
-        owner = np.zeros(len(inverse), bool)
-        owner[first] = True
-        of_counts = np.bincount(np.minimum(totals, K + 2).astype(np.int64), minlength=K + 3)
-        out = [
-            {"block": b, "part": int(p), "totals": pack(small(totals[inverse[e - len(r):e]])), "owned": pack(np.packbits(owner[e - len(r):e])), "stats": None}
-            for b, p, r, e in zip(rows["block"], rows["part"], raw, ends, strict=True)
-        ]
-        stats = [*of_counts[1:K + 2].tolist(), int((totals > 0).sum()), int(totals.sum())]
-        out.append({"block": None, "part": int(rows["part"].iloc[0]), "totals": b"", "owned": b"", "stats": stats})
-        return pd.DataFrame(out)
-
-    return requests.groupBy("part").applyInPandas(add, "block string, part int, totals binary, owned binary, stats array<long>")
-
-
 def totals_of(answers: DataFrame) -> list[int]:
     """Keys with counts 1 to K + 1, all keys, all tokens: sums over the parts."""
     sums = answers.where("block is null").agg(*[F.coalesce(F.sum(F.col("stats")[i]), F.lit(0)) for i in range(K + 3)]).first()
@@ -220,8 +171,8 @@ def score(docs: DataFrame, *, block_tokens: int = BLOCK_TOKENS, part_tokens: int
 
     tokens, texts = packed.agg(F.coalesce(F.sum(size("lengths")), F.lit(0)), F.count("*")).first()
     parts = max(packed.sparkSession.sparkContext.defaultParallelism, -(-tokens // part_tokens))
-    words = durable(answered(asked(packed, False, parts), False))
-    pairs = durable(answered(asked(packed, True, parts), True))
+    words = durable(answered(asked(packed, False, parts), 8, K + 1))
+    pairs = durable(answered(asked(packed, True, parts), 6, K + 1))
     *word_counts, types, total = totals_of(words)
     pair_counts = totals_of(pairs)[:-2]
     word_kept, pair_kept = kept_share(word_counts), kept_share(pair_counts)

@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starfold.llm import bpe, chat, katz, line_dedup, minhash, quality_rules, warc
+from starfold.llm import bpe, chat, katz, line_dedup, minhash, quality_rules, topk, warc
 from starfold.session import shared_folder
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -77,9 +77,14 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return topk.search(docs, docs.where("doc_id % 100 = 0"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup, "op3_chat_formatting": op3_chat_formatting, "op4_warc": op4_warc,
-    "op5_quality_rules": op5_quality_rules, "op6_katz": op6_katz, "op7_minhash": op7_minhash, "op8_bpe": op8_bpe,
+    "op5_quality_rules": op5_quality_rules, "op6_katz": op6_katz, "op7_minhash": op7_minhash, "op8_bpe": op8_bpe, "op10_topk": op10_topk,
 }
 
 _ESCAPE = r"""regexp_replace({0}, '([<\[])(\\*)(/?s>|/?INST\]|</?SYS>>)', '\1\\\2\3', 'g')"""
