@@ -184,3 +184,10 @@ def near_duplicates(
     out = labelled.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id") == F.col("component_id"))
     nameless = found.where("doc_id is null").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept"))
     return out.unionByName(nameless)
+
+
+def without_near_duplicates(docs: DataFrame, **how) -> DataFrame:
+    """``docs`` with one document of each group of near-duplicates, the one with the
+    smallest id; rows that repeat an id are one document and stay or go together."""
+    gone = near_duplicates(docs.select("doc_id", "text"), **how).where("not kept").select(F.col("doc_id").alias(" gone"))
+    return docs.join(gone, docs["doc_id"] == gone[" gone"], "left_anti")

@@ -186,3 +186,8 @@ def verdict(text: Column, model: Trees, least_words: int = 10, most_repeated: in
         return out
 
     return judge(text)
+
+
+def passing(docs: DataFrame, model: Trees, **how) -> DataFrame:
+    """The rows of ``docs`` whose text is kept."""
+    return docs.where(verdict(docs["text"], model, **how).getField("kept"))

@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starfold.llm import bpe, chat, katz, line_dedup, minhash, quality_rules, topk, warc
+from starfold.llm import bpe, chat, katz, line_dedup, minhash, mixing, quality_rules, site_quality, topk, warc
 from starfold.session import shared_folder
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -28,6 +28,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gone.select("doc_id", F.col("line_no").cast("long").alias("line_no"), "kept_doc_id", F.col("kept_line_no").cast("long").alias("kept_line_no"), "edits")
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return site_quality.classify(docs, site_quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
@@ -77,14 +82,20 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.rated(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    posteriors = [F.round(F.col(f" {d}"), 9).alias(f"p_{d}") for d in mixing.DOMAINS]
+    return rows.select(F.col(" row.doc_id").alias("doc_id"), F.col(" tokens").alias("n_tokens"), *posteriors, F.round(" rate", 6).alias("rate"), F.col(" copies").alias("copies"))
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return topk.search(docs, docs.where("doc_id % 100 = 0"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_line_dedup": op1_line_dedup, "op3_chat_formatting": op3_chat_formatting, "op4_warc": op4_warc,
-    "op5_quality_rules": op5_quality_rules, "op6_katz": op6_katz, "op7_minhash": op7_minhash, "op8_bpe": op8_bpe, "op10_topk": op10_topk,
+    "op1_line_dedup": op1_line_dedup, "op2_quality_classifier": op2_quality_classifier, "op3_chat_formatting": op3_chat_formatting, "op4_warc": op4_warc,
+    "op5_quality_rules": op5_quality_rules, "op6_katz": op6_katz, "op7_minhash": op7_minhash, "op8_bpe": op8_bpe, "op9_mixing": op9_mixing, "op10_topk": op10_topk,
 }
 
 _ESCAPE = r"""regexp_replace({0}, '([<\[])(\\*)(/?s>|/?INST\]|</?SYS>>)', '\1\\\2\3', 'g')"""
