@@ -6,9 +6,10 @@
    a whole band share a bucket.
 3. Links are sought where they can still matter. In a bucket every member is compared
    with one member of it (rounds of stars); linked classes become one component; only
-   buckets that still hold several components go on. After the star rounds every pair
-   of a bucket whose members lie in different components is compared, so no link that
-   could join two components is missed, and pairs inside a component are never formed.
+   buckets that still hold several components go on. After the star rounds every two
+   members of a bucket that lie in different components are compared, inside blocks of
+   bounded size that give out nothing but links, so no link that could join two
+   components is missed and no table of pairs is formed.
 4. A pair is compared batch by batch of its signatures: after each batch the posterior
    of the similarity (uniform prior) says how likely it is to reach the threshold, and
    the pair is dropped below ``miss``. Survivors are verified on the full shingle sets.
@@ -97,6 +98,78 @@ def shingle_sets(docs: DataFrame, classes: DataFrame, size: int) -> DataFrame:
     return texts.mapInPandas(sets, "id long, shingles binary").groupBy("id").agg(F.any_value("shingles").alias("shingles"))
 
 
+def _blocks(members: DataFrame, chunk: int) -> DataFrame:
+    """``members`` (bucket, band, id, component) dealt out to blocks: each bucket is cut
+    into chunks of about ``chunk`` members, large components into chunks of their own, and
+    any two chunks meet in a block unless all their members are of one component."""
+    sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("n")).withColumn("large", F.col("n") > chunk)
+    rest = sizes.where("not large").groupBy("bucket").agg(F.sum("n").alias("rest"))
+    share = F.ceil(F.when(F.col("large"), F.col("n")).otherwise(F.col("rest")) / chunk)
+    cut = members.join(sizes, ["bucket", "component"]).join(rest, "bucket", "left").select(
+        "bucket", "band", "id", "component",
+        F.struct(F.col("large"), F.when(F.col("large"), F.col("component")).alias("of"), F.pmod(F.xxhash64("id"), share).alias("part")).alias("chunk"),
+    )
+    chunks = cut.select("bucket", "chunk").distinct()
+    meet = chunks.join(chunks.withColumnRenamed("chunk", "other"), "bucket").where("chunk <= other and not (chunk.large and other.large and chunk.of = other.of)")
+    sides = F.when(F.col("chunk") == F.col("other"), F.array(F.struct(F.col("chunk"), F.lit(-1).alias("side")))).otherwise(
+        F.array(F.struct(F.col("chunk"), F.lit(0).alias("side")), F.struct(F.col("other").alias("chunk"), F.lit(1).alias("side")))
+    )
+    places = meet.select("bucket", F.xxhash64("bucket", "chunk", "other").alias("block"), F.explode(sides).alias("s")).select("bucket", "block", "s.*")
+    return cut.join(places, ["bucket", "chunk"]).select("block", "side", "band", "id", "component")
+
+
+def _linked_in(block: pd.DataFrame, hashes: int, rows: int, limits: list[tuple[int, int]], similarity: int) -> list[tuple[int, int]]:
+    """Links between different components of one block, as many as it takes to join them."""
+    ids, labels, band = block["id"].to_numpy(), block["component"].to_numpy().copy(), int(block["band"].iloc[0])
+    one = block["side"].iloc[0] == -1
+    signs = np.frombuffer(b"".join(block["signature"]), np.uint32).reshape(-1, hashes)
+    sets = [np.frombuffer(x, np.uint64) for x in block["shingles"]]
+    sizes = np.array([len(x) for x in sets])
+    right = np.arange(len(ids)) if one else np.flatnonzero(block["side"].to_numpy() == 1)
+    out = []
+    for x in range(len(ids)) if one else np.flatnonzero(block["side"].to_numpy() == 0):
+        ys = right[right > x] if one else right
+        ys = ys[(labels[ys] != labels[x]) & (100 * np.minimum(sizes[ys], sizes[x]) >= similarity * np.maximum(sizes[ys], sizes[x]))]
+        matches, seen = np.zeros(len(ys), np.int64), 0
+        for n, fewest in limits:
+            if not len(ys):
+                break
+            matches += (signs[ys, seen:n] == signs[x, seen:n]).sum(axis=1)
+            ys, matches, seen = ys[matches >= fewest], matches[matches >= fewest], n
+        if len(ys):  # a pair is compared in the first band it shares, nowhere else
+            agree = (signs[ys] == signs[x]).reshape(len(ys), -1, rows).all(axis=2)
+            ys = ys[agree.argmax(axis=1) == band]
+        if len(ys):
+            every = np.concatenate([sets[y] for y in ys])
+            at = np.minimum(np.searchsorted(sets[x], every), sizes[x] - 1)
+            both = np.add.reduceat((sets[x][at] == every).astype(np.int64), np.cumsum(sizes[ys]) - sizes[ys])
+            for y in ys[100 * both >= similarity * (sizes[ys] + sizes[x] - both)]:
+                if labels[y] != labels[x]:
+                    out.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+                    labels[labels == labels[y]] = labels[x]
+    return out
+
+
+def links_between(members: DataFrame, sets: DataFrame, hashes: int, rows: int, limits: list[tuple[int, int]], similarity: int, chunk: int = 256) -> DataFrame:
+    """Links (a, b) that join the components of the buckets in ``members``. All pairs of
+    different components are compared, inside blocks of bounded size; only links
+    leave a block."""
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for batch in batches:
+            batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            edges = np.flatnonzero(np.diff(batch["block"].to_numpy())) + 1
+            found = [link for part in np.split(np.arange(len(batch)), edges)[:-1] for link in _linked_in(batch.iloc[part], hashes, rows, limits, similarity)]
+            rest = batch.iloc[edges[-1] if len(edges) else 0:]
+            yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+        if rest is not None and len(rest):
+            yield pd.DataFrame(_linked_in(rest, hashes, rows, limits, similarity), columns=["a", "b"], dtype="int64")
+
+    blocks = _blocks(members, chunk).join(sets.select("id", "signature", "shingles"), "id")
+    return blocks.repartition("block").sortWithinPartitions("block", "side", "id").mapInPandas(compare, "a long, b long").distinct()
+
+
 def near_duplicates(
     docs: DataFrame, *, size: int = SHINGLE, similarity: int = 75, bands: int = BANDS, rows: int = ROWS, batch: int = 16, miss: float = 1e-7, stars: int = 3,
 ) -> DataFrame:
@@ -114,7 +187,7 @@ def near_duplicates(
         )
     )
     band = signed.select("id", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band"), "signature").select(
-        F.xxhash64("band", F.substring("signature", F.col("band") * (4 * rows) + 1, F.lit(4 * rows))).alias("bucket"), "id"
+        F.xxhash64("band", F.substring("signature", F.col("band") * (4 * rows) + 1, F.lit(4 * rows))).alias("bucket"), "band", "id"
     )
     shared = band.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high").select("bucket")
     buckets = durable(band.join(shared, "bucket"))
@@ -151,30 +224,26 @@ def near_duplicates(
         full = full.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
         return durable(full.where(linked("x", "y")).select("a", "b"))
 
-    spark = docs.sparkSession
-    tested = spark.createDataFrame([], "a long, b long")
+    def joined(links: DataFrame, before: DataFrame | None) -> DataFrame:
+        """id and component after ``links`` have been added to what was linked ``before``."""
+        return durable(components(links if before is None else links.unionByName(before.select(F.col("component").alias("a"), F.col("id").alias("b")))))
+
     stars_of = None  # id, component of classes linked so far
     for turn in range(stars + 1):
-        now = buckets if stars_of is None else buckets.join(stars_of, "id", "left")
-        now = now.withColumn("component", F.col("id")) if stars_of is None else now.withColumn("component", F.coalesce("component", "id"))
-        mixed = now.groupBy("bucket").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"),
-            F.min(F.struct((F.xxhash64("id", "bucket", F.lit(turn)) if turn else F.col("id")).alias("rank"), "id", "component")).alias("centre"),
-        ).where("low <> high")
-        now = now.join(mixed.select("bucket", F.col("centre.id").alias("centre"), F.col("centre.component").alias("of")), "bucket")
+        now = buckets.withColumn("component", F.col("id")) if stars_of is None else buckets.join(stars_of, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        rank = F.xxhash64("id", "bucket", F.lit(turn)) if turn else F.col("id")
+        several = now.groupBy("bucket").agg(
+            F.min("component").alias("low"), F.max("component").alias("high"), F.min(F.struct(rank.alias("rank"), "id", "component")).alias("centre"),
+        ).where("low <> high").select("bucket", F.col("centre.id").alias("centre"), F.col("centre.component").alias("of"))
+        now = now.join(several, "bucket")
         if turn < stars:
-            pairs = now.where("component <> of").select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
+            pairs = durable(now.where("component <> of").select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct())
+            links = verified(pairs)
         else:
-            other = now.select("bucket", F.col("id").alias("centre"), F.col("component").alias("of"))
-            pairs = now.select("bucket", "id", "component").join(other, "bucket").where("id < centre and component <> of").select(F.col("id").alias("a"), F.col("centre").alias("b"))
-        pairs = durable(pairs.distinct().join(tested, ["a", "b"], "left_anti"))
-        if pairs.isEmpty():
-            break
-        links = verified(pairs)
-        if not links.isEmpty():
-            known = links if stars_of is None else links.unionByName(stars_of.select(F.col("component").alias("a"), F.col("id").alias("b")))
-            stars_of = durable(components(known))
-        tested = tested.unionByName(pairs)
+            links = durable(links_between(durable(now.select("bucket", "band", "id", "component")), sets, hashes, rows, limits, similarity))
+        if links.isEmpty():
+            continue
+        stars_of = joined(links, stars_of)
     labelled = members.join(reps.select("class", F.col("id").alias("rep")), "class", "left")
     if stars_of is not None:
         labelled = labelled.join(stars_of.select(F.col("id").alias("rep"), "component"), "rep", "left")
