@@ -45,7 +45,7 @@ from starfold.llm.counting import LOW, answered, pack, parts_of, small, unpack
 from starfold.llm.words import _MULTIPLIERS, mixed, word_hashes, words_of
 from starfold.session import durable
 
-BLOCK_TOKENS, PART_TOKENS = 6_000_000, 4_000_000
+BLOCK_TOKENS, PART_TOKENS = 2_500_000, 4_000_000
 K, TAIL = 5, 0.1
 END, START = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)  # hashes of the end token and of the first context
 
