@@ -36,13 +36,14 @@ from starfold.session import durable
 
 DOMAINS = ("clean", "poor", "toxic")
 TARGETS = {"clean": 0.96, "poor": 0.03, "toxic": 0.01}
-_SPACES = r"[\x20\x09-\x0D]+"
+#: What separates words: blanks, and marks that cling to them.
+_BETWEEN = " \t\n\x0b\x0c\r.,;:!?\"()*#%&$|<>"
 
 
 def words_of(text: Column) -> Column:
-    """Words of a text in lower case; the empty list for null."""
-    trimmed = F.btrim(F.lower(F.coalesce(text, F.lit(""))), F.lit(" \t\n\x0b\x0c\r"))
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, _SPACES))
+    """Words of a text in lower case, without marks; the empty list for null."""
+    trimmed = F.btrim(F.lower(F.coalesce(text, F.lit(""))), F.lit(_BETWEEN))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, f"[{_BETWEEN}]+"))
 
 
 def marks_of(text: Column, words: Column, distinct: Column) -> Column:
@@ -86,8 +87,9 @@ class Classifier:
         return logs
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, words: int = 48, least: int = 10) -> Classifier:
-    """Naive Bayes on the features that tell the domains apart best."""
+def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, words: int = 48, least: int = 10, sure: float = 60.0) -> Classifier:
+    """Naive Bayes on the ``words`` features that speak best for each domain; they must occur
+    ``least`` times and have a chi-square of ``sure``, beyond what chance gives a vocabulary."""
     label = F.when(F.max("toxic") == 1, 2).when(F.min("quality") == 0, 1).when(F.max("quality") == 1, 0)
     known = labels.where("doc_id is not null").groupBy("doc_id").agg(label.alias("domain")).where("domain is not null")
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
@@ -111,11 +113,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, words: int =
     held = durable(held.where(have >= least))
     picked: dict[str, list[int]] = {}
     for k in range(1, len(DOMAINS)):
-        for r in held.where(telling(k).isNotNull()).orderBy(F.desc(telling(k)), "word").limit(words).collect():
+        for r in held.where(telling(k) >= sure).orderBy(F.desc(telling(k)), "word").limit(words).collect():
             picked[r["word"]] = [r[d] for d in DOMAINS]
     shares = {w: [(c + 0.5) / (m + 1) for c, m in zip(counts, n, strict=True)] for w, counts in picked.items()}
-    constant = tuple(log((n[k] + 1) / (total + len(DOMAINS))) + sum(log(1 - s[k]) for s in shares.values()) for k in range(len(DOMAINS)))
-    return Classifier(constant, {w: tuple(log(p / (1 - p)) for p in s) for w, s in shares.items()})
+    # only what is present speaks: the features of a domain come together, so that each
+    # one missing would count against it many times over
+    constant = tuple(log((n[k] + 1) / (total + len(DOMAINS))) for k in range(len(DOMAINS)))
+    return Classifier(constant, {w: tuple(map(log, s)) for w, s in shares.items()})
 
 
 def softmax(logs: Column) -> list[Column]:
