@@ -76,6 +76,28 @@ def whole_of_number(c: Column) -> Column:
     return c.try_cast("bigint")
 
 
+def _json_text(c: Column) -> Column:
+    return F.try_variant_get(c, "$", "string")
+
+
+def _json_number(c: Column) -> Column:
+    return F.try_variant_get(c, "$", "double")
+
+
+def _is_json_text(c: Column) -> Column:
+    return F.to_json(c).startswith('"')
+
+
+def whole_of_json(c: Column) -> Column:
+    """X6 on a JSON scalar: the number 12.7 is 12, the text ``"12.7"`` is null."""
+    return F.coalesce(whole_number(_json_text(c)), F.when(~_is_json_text(c), whole_of_number(_json_number(c))))
+
+
+def flag_of_json(c: Column) -> Column:
+    """X10 on a JSON scalar: numbers by being zero, texts by their word."""
+    return F.when(_is_json_text(c), flag(_json_text(c))).otherwise(flag_of_number(_json_number(c)))
+
+
 def decimal_number(c: Column) -> Column:
     """X7."""
     return only_group(c, _DECIMAL).try_cast("double")
@@ -88,8 +110,8 @@ _NO = ("false", "f", "0", "no", "n")
 
 def flag(c: Column) -> Column:
     """X10 on text: ten words in any case, anything else is null."""
-    meaning = [F.lit(x) for words, sense in ((_YES, True), (_NO, False)) for w in words for x in (w, sense)]
-    return F.try_element_at(F.create_map(*meaning), F.lower(strip(c)))
+    word = F.lower(strip(c))
+    return F.when(word.isin(*_YES), F.lit(True)).when(word.isin(*_NO), F.lit(False))
 
 
 def flag_of_number(c: Column) -> Column:
@@ -180,7 +202,7 @@ def doi(c: Column) -> Column:
     s = strip(c)
     n = len(DOI_URL_PREFIX)
     has_prefix = F.lower(F.substring(s, 1, n)) == DOI_URL_PREFIX
-    return filled(F.when(has_prefix, F.substring(s, n + 1, 1 << 20)).otherwise(s))
+    return filled(F.when(has_prefix, F.substring(s, F.lit(n + 1), F.length(s))).otherwise(s))
 
 
 def issn(c: Column) -> Column:
@@ -208,6 +230,12 @@ def object_field(c: Column, name: str) -> Column:
     return F.when(is_object(c), F.get_json_object(c, f"$.{name}"))
 
 
+def object_value(c: Column, name: str) -> Column:
+    """A field of an element read as text, as a JSON scalar that is still a number or a
+    text; null unless the element is an object."""
+    return F.when(is_object(c), F.try_variant_get(F.try_parse_json(c), f"$.{name}", "variant"))
+
+
 def element_id(c: Column) -> Column:
     """The id of an element that is an object or the id itself."""
     return F.when(is_object(c), F.get_json_object(c, "$.id")).otherwise(c)

@@ -81,12 +81,15 @@ class Catalogue:
         sizes: Mapping[str, int],
         fresh: bool = False,
         parts: Mapping[str, DataFrame] | None = None,
+        entities: Iterable[str] | None = None,
     ) -> None:
         self.assigned = assigned
         self._parts = parts
         self.sizes = dict(sizes)
         # Fresh: collected from the very documents it is used on.
         self.fresh = fresh
+        # The entities it was collected from; None when that is not known.
+        self.entities = None if entities is None else frozenset(entities)
         self._limit = known_small(assigned.sparkSession)
 
     def part(self, name: str) -> DataFrame:

@@ -7,14 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Elements of one document that can be told apart in the combined order.
-_PLACES = 10**9
+# More than an array can hold, so that places in one document never run into the next.
+_PLACES = 10**10
 
 
 def place(order: Column, position: Column) -> Column:
     """Scan order of an element inside a document as one fixed-width number, which
     keeps the minimum in a hash aggregate (a struct would force a sort)."""
-    return order.cast("decimal(20,0)") * F.lit(_PLACES).cast("decimal(10,0)") + position.cast("decimal(10,0)")
+    return order.cast("decimal(20,0)") * F.lit(_PLACES).cast("decimal(11,0)") + position.cast("decimal(10,0)")
 
 
 def first_wins(df: DataFrame, key: Sequence[str], attributes: Sequence[str], order: str) -> DataFrame:

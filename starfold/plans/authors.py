@@ -52,7 +52,7 @@ def author_alternative_name(docs: DataFrame, _catalogue: Catalogue) -> DataFrame
 def _affiliations() -> Column:
     """Affiliations with an institution number: ``(institution_id, years)``."""
     def parsed(a: Column) -> Column:
-        years = F.from_json(F.get_json_object(a, "$.years"), "array<string>")
+        years = F.from_json(F.get_json_object(a, "$.years"), "array<variant>")
         number = F.when(X.is_object(a), X.id_number(F.get_json_object(a, "$.institution.id")))
         return F.struct(number.alias("institution_id"), years.alias("years"))
 
@@ -80,7 +80,7 @@ child(
 def author_institution_year(docs: DataFrame, _catalogue: Catalogue) -> DataFrame:
     """Dense numbers on both levels."""
     outer = numbered(docs, [C("_id").alias("author_id")], _affiliations(), "institution_seq")
-    years = not_null(F.transform(C("item.years"), X.whole_number))
+    years = not_null(F.transform(C("item.years"), X.whole_of_json))
     return numbered(outer, ["author_id", "institution_seq"], years, "year_seq", "year")
 
 

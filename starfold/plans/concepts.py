@@ -28,9 +28,9 @@ def concept(docs: DataFrame, _catalogue: Catalogue) -> DataFrame:
         C("_id").alias("concept_id"),
         C("display_name").alias("concept"),
         C("description"),
-        C("level"),
+        X.whole_of_json(C("level")).alias("level"),
         C("_short").alias(SHORT_ID),
-        X.whole_number(C("ids.mag")).alias("mag_id"),
+        X.whole_of_json(C("ids.mag")).alias("mag_id"),
         X.last_segment(X.first_filled(C("ids.wikidata"), C("wikidata"))).alias("wikidata_id"),
         C("ids.wikipedia").alias("wikipedia_url"),
         C("image_url"),

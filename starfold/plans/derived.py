@@ -30,7 +30,7 @@ def citations(docs: DataFrame) -> DataFrame:
     is split by the skew handling of adaptive execution, which needs both sides
     to come straight from a shuffle: the cited side is written down first.
     """
-    year = X.whole_number(C("publication_year"))
+    year = X.whole_of_json(C("publication_year"))
     keep = [C("_id").alias("citing_work_id"), year.alias("pub_year"), _author_ids().alias("_citing_authors")]
     references = numbered(docs, keep, C("referenced_works"), "reference_seq").select(
         "citing_work_id", "reference_seq", "pub_year", "_citing_authors",
@@ -78,7 +78,7 @@ def shortened(names: Column) -> Column:
 
 
 def _others(array: Column) -> Column:
-    return F.slice(array, 2, 1 << 30)
+    return F.slice(array, F.lit(2), F.greatest(F.size(array), F.lit(0)))
 
 
 @table(
@@ -106,14 +106,14 @@ def work_detail(docs: DataFrame, _catalogue: Catalogue) -> DataFrame:
         ).alias("institution_et_al"),
         title().alias("title"),
         location(C("primary_location"))["source"]["display_name"].alias("source"),
-        C("publication_year").alias("pub_year"),
+        X.whole_of_json(C("publication_year")).alias("pub_year"),
         C("biblio.volume").alias("volume"),
         C("biblio.issue").alias("issue"),
         X.page_range(C("biblio.first_page"), C("biblio.last_page")).alias("pages"),
         work_doi().alias("doi"),
         X.longest_number(C("ids.pmid")).alias("pmid"),
         C("type").alias("work_type"),
-        C("cited_by_count").alias("n_cits"),
+        X.whole_of_json(C("cited_by_count")).alias("n_cits"),
     )
     # Counting by cited work shrinks in each task before it is shuffled.
     counts = (

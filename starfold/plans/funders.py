@@ -64,7 +64,7 @@ def publisher(docs: DataFrame, _catalogue: Catalogue) -> DataFrame:
     return docs.select(
         C("_id").alias("publisher_id"),
         C("display_name").alias("publisher"),
-        C("hierarchy_level"),
+        X.whole_of_json(C("hierarchy_level")).alias("hierarchy_level"),
         X.id_number(X.object_field(C("parent_publisher"), "id")).alias("parent_publisher_id"),
         C("homepage_url"),
         X.last_segment(C("ids.ror")).alias("ror_id"),

@@ -59,15 +59,15 @@ def institution(docs: DataFrame, catalogue: Catalogue) -> DataFrame:
         C("_id").alias("institution_id"),
         C("display_name").alias("institution"),
         C("country_code").alias("country_iso_alpha2_code"),
-        X.whole_number(C("geo.geonames_city_id")).alias("geonames_city_id"),
+        X.whole_of_json(C("geo.geonames_city_id")).alias("geonames_city_id"),
         X.decimal_number(C("geo.latitude")).alias("latitude"),
         X.decimal_number(C("geo.longitude")).alias("longitude"),
         C("homepage_url"),
-        X.flag(C("is_super_system")).alias("is_super_system"),
+        X.flag_of_json(C("is_super_system")).alias("is_super_system"),
         X.last_segment(C("ror")).alias("ror_id"),
         C("ids.grid").alias("grid_id"),
         C("_short").alias(SHORT_ID),
-        X.whole_number(C("ids.mag")).alias("mag_id"),
+        X.whole_of_json(C("ids.mag")).alias("mag_id"),
         X.last_segment(C("ids.wikidata")).alias("wikidata_id"),
         C("ids.wikipedia").alias("wikipedia_url"),
         C("image_url"),
@@ -88,7 +88,7 @@ def institution(docs: DataFrame, catalogue: Catalogue) -> DataFrame:
 def city(docs: DataFrame, _catalogue: Catalogue) -> DataFrame:
     rows = docs.select(
         "_ord",
-        X.whole_number(C("geo.geonames_city_id")).alias("geonames_city_id"),
+        X.whole_of_json(C("geo.geonames_city_id")).alias("geonames_city_id"),
         X.filled(C("geo.city")).alias("city"),
     )
     # Number 0 counts as not set.

@@ -1,7 +1,8 @@
-"""The whole run: scan, stage, collect ids, write tables, report."""
+"""The whole run: scan, stage, collect ids, write tables, check, report."""
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.catalogue import Catalogue, collect, missing, values_of
+from ..operators.checks import column_problems, null_keys, repeated_keys
 from ..session import at_once
 from ..sinks.delimited import save_catalogue, write_delimited
 from ..sources.catalogue_files import load_catalogue
@@ -34,6 +36,7 @@ class Options:
     encoding: str = "UTF-8"
     delimiter: str = "\t"
     strict: bool = False
+    check: bool = True
     tables_at_once: int = 4
 
 
@@ -85,10 +88,36 @@ def ids_for(spark: SparkSession, options: Options, docs: dict[str, DataFrame]) -
     if saved is not None:
         return saved
     catalogue = collect(docs, FEEDS)
-    save_catalogue(catalogue, options.reference)
+    save_catalogue(catalogue, options.reference, docs)
     return catalogue
 
 
+def uncatalogued(spark: SparkSession, docs: dict[str, DataFrame], catalogue: Catalogue) -> DataFrame:
+    """C3 for a reused catalogue: ``(entity, catalogue, n)``, the number of values in use
+    that have no id.  Entities the catalogue was not collected from are named with 0, too."""
+    found = spark.createDataFrame([], "entity string, catalogue string, n bigint")
+    for entity, df in docs.items():
+        lacking = missing(values_of({entity: df}, FEEDS), catalogue).groupBy("catalogue").agg(F.count(F.lit(1)).alias("n"))
+        found = found.unionByName(lacking.select(F.lit(entity).alias("entity"), "catalogue", "n"))
+        if catalogue.entities is not None and entity not in catalogue.entities:
+            found = found.unionByName(spark.createDataFrame([(entity, "(not collected)", 0)], found.schema))
+    return found
+
+
+def problems(name: str, table: DataFrame) -> DataFrame:
+    """C1, C2 for one output table: ``(table_name, column_name, problem, n)``."""
+    declared = TABLES[name]
+    key = ",".join(declared.key)
+    held = table.where(" and ".join(f"{k} is not null" for k in declared.key))
+    counted = [
+        null_keys(table, declared.key).agg(F.lit(key).alias("column_name"), F.lit("null key").alias("problem"), F.count(F.lit(1)).alias("n")),
+        repeated_keys(held, declared.key).agg(F.lit(key).alias("column_name"), F.lit("repeated key").alias("problem"), F.count(F.lit(1)).alias("n")),
+        column_problems(table, declared.columns),
+    ]
+    every = counted[0].unionByName(counted[1]).unionByName(counted[2])
+    return every.where("n > 0").select(F.lit(name).alias("table_name"), "column_name", "problem", "n")
+
+
 def run(spark: SparkSession, options: Options) -> dict[str, EntityReport]:
     """A full run; returns what was read, per entity in the order asked for."""
     entities = chosen_entities(options.entities)
@@ -99,16 +128,27 @@ def run(spark: SparkSession, options: Options) -> dict[str, EntityReport]:
     if options.collect_only:
         return reports
 
-    if options.strict and not catalogue.fresh:
-        unknown = missing(values_of(docs, FEEDS), catalogue)
-        if not unknown.isEmpty():
-            raise ValueError("the saved catalogue lacks values in use; collect it again")
+    checks = f"{options.output.rstrip('/')}/_checks"
+    if not catalogue.fresh:
+        uncatalogued(spark, docs, catalogue).write.mode("overwrite").parquet(f"{checks}/uncatalogued")
+        lacking = {r["entity"] for r in spark.read.parquet(f"{checks}/uncatalogued").select("entity").distinct().collect()}
+        if lacking:
+            said = f"the saved catalogue lacks values of {', '.join(sorted(lacking))}; collect it again ({checks}/uncatalogued)"
+            if options.strict:
+                raise ValueError(said)
+            warnings.warn(said, stacklevel=2)
 
     # Enumerations are written whatever entities were asked for.
     names = [n for n, t in TABLES.items() if t.entity in docs or n in ENUMERATIONS]
 
     def write(name: str) -> None:
         table = catalogue.table(name) if name in ENUMERATIONS else build(name, docs, catalogue)
+        if options.check and name not in ENUMERATIONS:
+            # Made once, then written out and checked.
+            made = f"{options.staging.rstrip('/')}/tables/{name}"
+            table.write.mode("overwrite").parquet(made)
+            table = spark.read.parquet(made)
+            problems(name, table).write.mode("overwrite").parquet(f"{checks}/tables/{name}")
         write_delimited(table, f"{options.output.rstrip('/')}/{name}.csv", options.delimiter, options.encoding)
 
     at_once(write, names, options.tables_at_once)

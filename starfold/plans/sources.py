@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..fixed import SHORT_ID
 from ..functions import text as X
-from ..functions.arrays import dense_distinct
+from ..functions.arrays import dense_distinct, let
 from ..operators.catalogue import Catalogue, Feed
 from .tables import child, table
 
@@ -40,12 +40,12 @@ def source(docs: DataFrame, catalogue: Catalogue) -> DataFrame:
         C("homepage_url"),
         X.issn(X.first_filled(C("issn_l"), C("ids.issn_l"))).alias("issn_l"),
         C("_short").alias(SHORT_ID),
-        X.whole_number(C("ids.mag")).alias("mag_id"),
+        X.whole_of_json(C("ids.mag")).alias("mag_id"),
         X.last_segment(C("ids.wikidata")).alias("wikidata_id"),
         X.last_segment(C("ids.fatcat")).alias("fatcat_id"),
-        X.flag(C("is_in_doaj")).alias("is_in_doaj"),
-        X.flag(C("is_oa")).alias("is_oa"),
-        X.whole_number(C("apc_usd")).alias("apc_price_usd"),
+        X.flag_of_json(C("is_in_doaj")).alias("is_in_doaj"),
+        X.flag_of_json(C("is_oa")).alias("is_oa"),
+        X.whole_of_json(C("apc_usd")).alias("apc_price_usd"),
         X.day(C("updated_date")).alias("updated_date"),
         X.day(C("created_date")).alias("created_date"),
         C("type").alias("_type"),
@@ -62,12 +62,11 @@ child(
 def _prices() -> Column:
     def parsed(p: Column) -> Column:
         return F.struct(
-            X.object_field(p, "price").alias("apc_price"), X.filled(X.object_field(p, "currency")).alias("currency")
+            let(X.object_value(p, "price"), X.whole_of_json).alias("apc_price"), X.filled(X.object_field(p, "currency")).alias("currency"),
+            X.object_field(p, "price").alias("given"),
         )
 
-    return F.filter(
-        F.transform(C("apc_prices"), parsed), lambda p: p["apc_price"].isNotNull() & p["currency"].isNotNull()
-    )
+    return F.filter(F.transform(C("apc_prices"), parsed), lambda p: p["given"].isNotNull() & p["currency"].isNotNull())
 
 
 child(

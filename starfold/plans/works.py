@@ -136,31 +136,31 @@ def work(docs: DataFrame, catalogue: Catalogue) -> DataFrame:
         _id(),
         X.id_number(location(C("primary_location"))["source"]["id"]).alias("source_id"),
         X.day(C("publication_date")).alias("pub_date"),
-        C("publication_year").alias("pub_year"),
+        X.whole_of_json(C("publication_year")).alias("pub_year"),
         C("biblio.volume").alias("volume"),
         C("biblio.issue").alias("issue"),
         C("biblio.first_page").alias("page_first"),
         C("biblio.last_page").alias("page_last"),
         work_doi().alias("doi"),
         C("_short").alias(SHORT_ID),
-        X.whole_number(C("ids.mag")).alias("mag_id"),
+        X.whole_of_json(C("ids.mag")).alias("mag_id"),
         X.longest_number(C("ids.pmid")).alias("pmid"),
         X.longest_number(C("ids.pmcid")).alias("pmcid"),
         X.short_id(C("ids.arxiv")).alias("arxiv_id"),
         X.language_code(C("language")).alias("language_iso2_code"),
-        X.flag(C("is_paratext")).alias("is_paratext"),
-        X.flag(C("is_retracted")).alias("is_retracted"),
-        X.flag(C("open_access.is_oa")).alias("is_oa"),
-        X.flag(C("open_access.any_repository_has_fulltext")).alias("any_repository_has_fulltext"),
+        X.flag_of_json(C("is_paratext")).alias("is_paratext"),
+        X.flag_of_json(C("is_retracted")).alias("is_retracted"),
+        X.flag_of_json(C("open_access.is_oa")).alias("is_oa"),
+        X.flag_of_json(C("open_access.any_repository_has_fulltext")).alias("any_repository_has_fulltext"),
         C("open_access.oa_url").alias("oa_url"),
         C("apc_list.currency").alias("apc_list_currency"),
-        C("apc_list.value").alias("apc_list_price"),
-        C("apc_list.value_usd").alias("apc_list_price_usd"),
+        X.whole_of_json(C("apc_list.value")).alias("apc_list_price"),
+        X.whole_of_json(C("apc_list.value_usd")).alias("apc_list_price_usd"),
         C("apc_paid.currency").alias("apc_paid_currency"),
-        C("apc_paid.value").alias("apc_paid_price"),
-        C("apc_paid.value_usd").alias("apc_paid_price_usd"),
-        C("referenced_works_count").alias("n_refs"),
-        C("cited_by_count").alias("n_cits"),
+        X.whole_of_json(C("apc_paid.value")).alias("apc_paid_price"),
+        X.whole_of_json(C("apc_paid.value_usd")).alias("apc_paid_price_usd"),
+        X.whole_of_json(C("referenced_works_count")).alias("n_refs"),
+        X.whole_of_json(C("cited_by_count")).alias("n_cits"),
         X.day(C("updated_date")).alias("updated_date"),
         X.day(C("created_date")).alias("created_date"),
         work_type().alias("_type"),
@@ -297,7 +297,7 @@ def work_mesh(docs: DataFrame, _catalogue: Catalogue) -> DataFrame:
         "work_id", "mesh_seq",
         C("item.descriptor_ui").alias("mesh_descriptor_ui"),
         C("item.qualifier_ui").alias("mesh_qualifier_ui"),
-        X.flag(C("item.is_major_topic")).alias("is_major_topic"),
+        X.flag_of_json(C("item.is_major_topic")).alias("is_major_topic"),
     )
 
 
@@ -313,23 +313,14 @@ def work_location(docs: DataFrame, catalogue: Catalogue) -> DataFrame:
     nothing = F.lit("{}")
     keep = [
         _id(),
-        F.coalesce(C("primary_location"), nothing).alias("_primary"),
-        F.coalesce(C("best_oa_location"), nothing).alias("_best"),
+        X.canonical_object(F.coalesce(C("primary_location"), nothing)).alias("_primary"),
+        X.canonical_object(F.coalesce(C("best_oa_location"), nothing)).alias("_best"),
     ]
 
-    def same(other: str) -> Column:
-        # The parser writes objects without spare characters, so equal ones have
-        # equal length, and only then their keys need sorting.
-        return (
-            F.when(C("item") == C(other), F.lit(True))
-            .when(F.octet_length("item") != F.octet_length(other), F.lit(False))
-            .otherwise(X.canonical_object(C("item")) == X.canonical_object(C(other)))
-        )
-
     rows = numbered(docs, keep, C("locations"), "location_seq").select(
         "work_id", "location_seq",
-        same("_primary").alias("is_primary_location"),
-        same("_best").alias("is_best_oa_location"),
+        (X.canonical_object(C("item")) == C("_primary")).alias("is_primary_location"),
+        (X.canonical_object(C("item")) == C("_best")).alias("is_best_oa_location"),
         location(C("item")).alias("l"),
     )
     version = F.lower(F.coalesce(C("l.version"), F.lit("")))
@@ -338,7 +329,7 @@ def work_location(docs: DataFrame, catalogue: Catalogue) -> DataFrame:
         X.id_number(C("l.source.id")).alias("source_id"),
         C("l.landing_page_url").alias("landing_page_url"),
         C("l.pdf_url").alias("pdf_url"),
-        X.flag(C("l.is_oa")).alias("is_oa"),
+        X.flag_of_json(C("l.is_oa")).alias("is_oa"),
         (version == "acceptedversion").alias("is_accepted"),
         (version == "publishedversion").alias("is_published"),
         C("l.version").alias("_version"),
@@ -370,7 +361,7 @@ def work_author(docs: DataFrame, catalogue: Catalogue) -> DataFrame:
     rows = numbered(docs, [_id()], C("authorships"), "author_seq").select(
         "work_id", "author_seq",
         X.id_number(C("item.author.id")).alias("author_id"),
-        X.flag(C("item.is_corresponding")).alias("is_corresponding_author"),
+        X.flag_of_json(C("item.is_corresponding")).alias("is_corresponding_author"),
         C("item.author_position").alias("_position"),
         X.collapse_spaces(author_name(C("item"))).alias("_name"),
     )

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators.catalogue import CATALOGUES, Catalogue, CatalogueConfig
-from ..operators.joins import known_small
 from ..session import at_once
 
 
@@ -71,17 +72,25 @@ def write_delimited(df: DataFrame, path: str, delimiter: str = "\t", encoding: s
     writer.option("encoding", encoding).csv(path)
 
 
-def save_catalogue(catalogue: Catalogue, folder: str) -> None:
-    """K4: one tab-separated table per catalogue, in id order, also when empty."""
+#: Beside the exported files: the catalogue itself, and the entities it was collected from.
+VALUES, ENTITIES_FED = "_values", "_entities"
+
+
+def save_catalogue(catalogue: Catalogue, folder: str, entities: Iterable[str] = ()) -> None:
+    """K4: the assignments as Parquet, which keeps every value as it is and is what a
+    later run reads; and one tab-separated table per catalogue, in id order, also when
+    empty.  ``entities`` are those whose documents were all looked at."""
+    root, spark = folder.rstrip("/"), catalogue.assigned.sparkSession
 
     def save(config: CatalogueConfig) -> None:
-        rows = catalogue.table(config.name)
-        if catalogue.sizes.get(config.name, 0) <= known_small(rows.sparkSession):
-            # Measured small: one file, in order, with its header also when empty.
-            rows = rows.repartition(1).sortWithinPartitions(config.id_column)
-        else:
-            rows = rows.orderBy(config.id_column)
+        # Each task writes a range of ids, so the files are in order one after another.
+        rows = catalogue.table(config.name).orderBy(config.id_column)
         writer = rows.write.mode("overwrite").option("header", True).option("sep", "\t").option("escape", '"')
-        writer.csv(f"{folder.rstrip('/')}/{config.file_name}")
+        for end in ("Leading", "Trailing"):
+            writer = writer.option(f"ignore{end}WhiteSpace", False)
+        writer.csv(f"{root}/{config.file_name}")
 
     at_once(save, CATALOGUES.values())
+    spark.createDataFrame([(e,) for e in entities], "entity string").write.mode("overwrite").parquet(f"{root}/{ENTITIES_FED}")
+    # Last, as its presence says that the catalogue is complete.
+    catalogue.assigned.select("catalogue", "value", "id").write.mode("overwrite").parquet(f"{root}/{VALUES}")

@@ -9,22 +9,21 @@ from pyspark.sql import functions as F
 
 from ..operators.catalogue import CATALOGUES, Catalogue, CatalogueConfig
 from ..session import at_once
+from ..sinks.delimited import ENTITIES_FED, VALUES
 from .snapshot import exists
 
-_SAMPLE = 2048
-
-
 def _separator(spark: SparkSession, path: str) -> str:
-    """Tab when the first 2 KiB hold one, else comma."""
-    head = "\n".join(r["value"] for r in spark.read.text(path).limit(_SAMPLE // 2).collect())
-    return "\t" if "\t" in head[:_SAMPLE] else ","
+    """Tab when the header line holds one, else comma."""
+    header = [r["value"] for r in spark.read.text(path).limit(1).collect()]
+    return "\t" if any("\t" in line for line in header) else ","
 
 
 def _read(spark: SparkSession, path: str, config: CatalogueConfig) -> DataFrame:
     """Rows with a value and an integer id; of repeated values the last one counts."""
     raw = (
         spark.read.option("header", True).option("sep", _separator(spark, path))
-        .option("escape", '"').option("multiLine", False).csv(path)
+        .option("escape", '"').option("multiLine", True)
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     )
     rows = raw.select(
         F.lit(config.name).alias("catalogue"),
@@ -35,15 +34,26 @@ def _read(spark: SparkSession, path: str, config: CatalogueConfig) -> DataFrame:
     return rows.groupBy("catalogue", "value").agg(F.max_by("id", "_row").alias("id"))
 
 
+def _sized(assigned: DataFrame, parts: dict[str, DataFrame] | None, entities: frozenset[str] | None) -> Catalogue:
+    size = F.sum(F.octet_length("value").cast("bigint") + 32).alias("n")
+    # At most one row per configured catalogue comes back.
+    sizes = {r["catalogue"]: r["n"] for r in assigned.groupBy("catalogue").agg(size).collect()}
+    return Catalogue(assigned, sizes, parts=parts, entities=entities)
+
+
 def load_catalogue(spark: SparkSession, folder: str) -> Catalogue | None:
-    """The saved catalogue, or None unless every one of its files is there."""
-    paths = {c.name: f"{folder.rstrip('/')}/{c.file_name}" for c in CATALOGUES.values()}
+    """The saved catalogue, or None unless it is complete.
+
+    What this library saved is read from its Parquet; files of another origin are
+    read as they are, and say nothing about the entities they cover.
+    """
+    root = folder.rstrip("/")
+    paths = {c.name: f"{root}/{c.file_name}" for c in CATALOGUES.values()}
     if not all(exists(spark, p) for p in paths.values()):
         return None
+    if exists(spark, f"{root}/{VALUES}"):
+        entities = frozenset(r["entity"] for r in spark.read.parquet(f"{root}/{ENTITIES_FED}").collect())
+        return _sized(spark.read.parquet(f"{root}/{VALUES}"), None, entities)
     read = at_once(lambda c: _read(spark, paths[c.name], c), CATALOGUES.values())
     parts = dict(zip(CATALOGUES, read))
-    assigned = reduce(DataFrame.unionByName, parts.values())
-    size = F.sum(F.octet_length("value").cast("bigint") + 32).alias("n")
-    # At most one row per configured catalogue comes back.
-    sizes = {r["catalogue"]: r["n"] for r in assigned.groupBy("catalogue").agg(size).collect()}
-    return Catalogue(assigned, sizes, parts=parts)
+    return _sized(reduce(DataFrame.unionByName, parts.values()), parts, None)

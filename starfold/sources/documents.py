@@ -25,6 +25,11 @@ def _fields(names: str, **nested: T.DataType) -> T.StructType:
     return T.StructType(fields + [T.StructField(n, t) for n, t in nested.items()])
 
 
+def _scalars(names: str) -> dict[str, T.DataType]:
+    """Fields whose JSON type matters: a number there is not the same as its text."""
+    return dict.fromkeys(names.split(), T.VariantType())
+
+
 def _list(names: str, **nested: T.DataType) -> T.ArrayType:
     return T.ArrayType(_fields(names, **nested))
 
@@ -33,22 +38,23 @@ _DATED = "id display_name updated_date created_date "
 _PICTURED = _DATED + "image_url image_thumbnail_url "
 
 LOCATION = _fields(
-    "version license landing_page_url pdf_url is_oa",
+    "version license landing_page_url pdf_url",
+    **_scalars("is_oa"),
     source=_fields("id display_name is_in_doaj"),
 )
 
-_APC = _fields("provenance currency value value_usd")
+_APC = _fields("provenance currency", **_scalars("value value_usd"))
 _ROOT_LINK = _fields("id")
 _TOPIC_IDS = _fields("wikidata wikipedia")
 
 DOCUMENTS: dict[str, T.StructType] = {
     "works": _fields(
         _DATED + "type type_crossref title doi doi_registration_agency publication_date "
-        "publication_year language is_paratext is_retracted fulltext_origin "
-        "referenced_works_count cited_by_count primary_location best_oa_location",
-        ids=_fields("doi mag pmid pmcid arxiv"),
+        "language fulltext_origin primary_location best_oa_location",
+        **_scalars("publication_year is_paratext is_retracted referenced_works_count cited_by_count"),
+        ids=_fields("doi pmid pmcid arxiv", **_scalars("mag")),
         biblio=_fields("volume issue first_page last_page"),
-        open_access=_fields("is_oa any_repository_has_fulltext oa_status oa_url"),
+        open_access=_fields("oa_status oa_url", **_scalars("is_oa any_repository_has_fulltext")),
         apc_list=_APC,
         apc_paid=_APC,
         locations=TEXTS,
@@ -57,9 +63,10 @@ DOCUMENTS: dict[str, T.StructType] = {
         topics=_list("id score"),
         sustainable_development_goals=_list("id display_name score"),
         keywords=_list("keyword display_name score"),
-        mesh=_list("descriptor_ui descriptor_name qualifier_ui qualifier_name is_major_topic"),
+        mesh=_list("descriptor_ui descriptor_name qualifier_ui qualifier_name", **_scalars("is_major_topic")),
         authorships=_list(
-            "raw_author_name author_position is_corresponding raw_affiliation_string",
+            "raw_author_name author_position raw_affiliation_string",
+            **_scalars("is_corresponding"),
             author=_fields("id display_name"),
             countries=TEXTS,
             raw_affiliation_strings=TEXTS,
@@ -77,9 +84,10 @@ DOCUMENTS: dict[str, T.StructType] = {
         affiliations=TEXTS,
     ),
     "institutions": _fields(
-        _PICTURED + "type country_code homepage_url ror is_super_system",
-        geo=_fields("region geonames_city_id city country latitude longitude"),
-        ids=_fields("wikipedia wikidata mag grid"),
+        _PICTURED + "type country_code homepage_url ror",
+        **_scalars("is_super_system"),
+        geo=_fields("region city country latitude longitude", **_scalars("geonames_city_id")),
+        ids=_fields("wikipedia wikidata grid", **_scalars("mag")),
         display_name_acronyms=TEXTS,
         display_name_alternatives=TEXTS,
         international=_fields("", display_name=TEXT_MAP),
@@ -89,16 +97,18 @@ DOCUMENTS: dict[str, T.StructType] = {
         lineage=TEXTS,
     ),
     "concepts": _fields(
-        _PICTURED + "description level wikidata",
-        ids=_fields("wikidata wikipedia mag", umls_cui=TEXTS, umls_aui=TEXTS),
+        _PICTURED + "description wikidata",
+        **_scalars("level"),
+        ids=_fields("wikidata wikipedia", **_scalars("mag"), umls_cui=TEXTS, umls_aui=TEXTS),
         ancestors=TEXTS,
         related_concepts=TEXTS,
         international=_fields("", display_name=TEXT_MAP, description=TEXT_MAP),
     ),
     "sources": _fields(
         _DATED + "abbreviated_title type country_code host_organization publisher_id "
-        "homepage_url issn_l is_in_doaj is_oa apc_usd",
-        ids=_fields("wikidata fatcat mag issn_l", issn=TEXTS),
+        "homepage_url issn_l",
+        **_scalars("is_in_doaj is_oa apc_usd"),
+        ids=_fields("wikidata fatcat issn_l", **_scalars("mag"), issn=TEXTS),
         alternate_titles=TEXTS,
         issn=TEXTS,
         apc_prices=TEXTS,
@@ -111,7 +121,8 @@ DOCUMENTS: dict[str, T.StructType] = {
         roles=TEXTS,
     ),
     "publishers": _fields(
-        _PICTURED + "homepage_url hierarchy_level parent_publisher",
+        _PICTURED + "homepage_url parent_publisher",
+        **_scalars("hierarchy_level"),
         ids=_fields("wikidata wikipedia ror"),
         alternate_titles=TEXTS,
         country_codes=TEXTS,

@@ -70,16 +70,21 @@ def test_missing_values(spark):
 
 
 def test_saved_and_loaded(spark, tmp_path):
-    catalogue = catalogue_of(spark, [("license", "a"), ("license", 'q"u\\o'), ("raw_affiliation_string", "x, y")])
+    odd = [("keyword", " lead"), ("keyword", "trail "), ("keyword", "two\nlines"), ("raw_author_name", "\t")]
+    catalogue = catalogue_of(spark, [("license", "a"), ("license", 'q"u\\o'), ("raw_affiliation_string", "x, y"), *odd])
     folder = str(tmp_path / "ids")
     assert load_catalogue(spark, folder) is None
-    save_catalogue(catalogue, folder)
-    assert sorted(os.listdir(folder)) == sorted(c.file_name for c in CATALOGUES.values())
+    save_catalogue(catalogue, folder, ["works", "authors"])
+    assert sorted(f for f in os.listdir(folder) if f[0] != "_") == sorted(c.file_name for c in CATALOGUES.values())
     for c in CATALOGUES.values():
         part = [f for f in os.listdir(f"{folder}/{c.file_name}") if f.startswith("part")]
         assert part and open(f"{folder}/{c.file_name}/{sorted(part)[0]}").readline() == f"{c.id_column}\t{c.name}\n"
     loaded = load_catalogue(spark, folder)
-    assert ids_of(loaded) == ids_of(catalogue)
+    assert ids_of(loaded) == ids_of(catalogue) and loaded.entities == {"works", "authors"}
+    for name in ("_values", "_entities"):  # the exported files alone hold the same
+        os.rename(f"{folder}/{name}", f"{tmp_path}/{name}")
+    exported = load_catalogue(spark, folder)
+    assert ids_of(exported) == ids_of(catalogue) and exported.entities is None
     os.rename(f"{folder}/region.csv", f"{folder}/elsewhere")
     assert load_catalogue(spark, folder) is None
 

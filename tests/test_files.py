@@ -129,6 +129,27 @@ def test_a_stale_catalogue_is_reported(spark, snapshot, tmp_path):
         run(spark, Options(**{**options.__dict__, "collect_only": False}))
 
 
+def test_a_partial_catalogue_is_reported(spark, snapshot, tmp_path):
+    put(snapshot, "institutions", "2024-03-01", "part_000.gz", json.dumps({"id": "I1", "type": "company", "display_name": "x"}))
+    options = Options(str(snapshot), str(tmp_path / "out"), str(tmp_path / "ids"), str(tmp_path / "staged"), entities=("works",), collect_only=True)
+    run(spark, options)
+    wider = Options(**{**options.__dict__, "collect_only": False, "entities": ("works", "institutions")})
+    with pytest.warns(UserWarning, match="institutions"):
+        run(spark, wider)
+    found = spark.read.parquet(str(tmp_path / "out" / "_checks" / "uncatalogued")).collect()
+    assert {tuple(r) for r in found} == {("institutions", "(not collected)", 0), ("institutions", "institution_type", 1)}
+    with pytest.raises(ValueError, match="institutions"):
+        run(spark, Options(**{**wider.__dict__, "strict": True}))
+
+
+def test_problems_are_written(spark, snapshot, tmp_path):
+    put(snapshot, "works", "2024-03-01", "part_000.gz", record(8, publication_year=99999), record(8))
+    options = Options(str(snapshot), str(tmp_path / "out"), str(tmp_path / "ids"), str(tmp_path / "staged"), entities=("works",))
+    run(spark, options)
+    found = {tuple(r) for r in spark.read.parquet(str(tmp_path / "out" / "_checks" / "tables" / "work")).collect()}
+    assert found == {("work", "work_id", "repeated key", 1), ("work", "pub_year", "out of range", 1)}
+
+
 def test_shared_folder_must_be_named_on_a_cluster(spark):
     from types import SimpleNamespace
 
