@@ -148,18 +148,15 @@ DOCUMENTS: dict[str, T.StructType] = {
 _BAD = "_malformed"
 
 
-def _parse(lines: DataFrame, entity: str, fields: Iterable[str] | None, good: bool) -> DataFrame:
+def _parse(lines: DataFrame, entity: str, good: bool) -> DataFrame:
     """Well-formed (or the other) lines with their document in ``doc``.
 
     The parsed document goes through a generator that yields it once or not at
     all.  Written as a filter, Spark would push the test below the projection
     and parse each line once per use.
     """
-    shape = DOCUMENTS[entity]
-    if fields is not None:
-        wanted = set(fields) | {"id"}
-        shape = T.StructType([f for f in shape if f.name in wanted])
-    shape = T.StructType([*shape, T.StructField(_BAD, TEXT)])
+    # Always the whole shape: whether a line is malformed must not depend on what is read.
+    shape = T.StructType([*DOCUMENTS[entity], T.StructField(_BAD, TEXT)])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
 
     def well_formed(doc: Column) -> Column:
@@ -174,14 +171,15 @@ def _parse(lines: DataFrame, entity: str, fields: Iterable[str] | None, good: bo
 def all_documents(lines: DataFrame, entity: str, fields: Iterable[str] | None = None) -> DataFrame:
     """Lines (``_ord``, ``value``, …) to one row per well-formed document, with the
     short id ``_short`` and the number ``_id``, which may be null.  ``fields``
-    limits parsing to what an operator reads."""
-    parsed = _parse(lines, entity, fields, good=True)
+    limits the columns to what an operator reads."""
+    parsed = _parse(lines, entity, good=True)
     rest = [c for c in lines.columns if c != "value"]
+    wanted = [f.name for f in DOCUMENTS[entity] if fields is None or f.name in {*fields, "id"}]
     return parsed.select(
         *rest,
         X.id_number(F.col("doc.id")).alias("_id"),
         X.short_id(F.col("doc.id")).alias("_short"),
-        *[F.col(f"doc.{f.name}") for f in parsed.schema["doc"].dataType if f.name != _BAD],
+        *[F.col(f"doc.{name}") for name in wanted],
     )
 
 
@@ -192,4 +190,4 @@ def documents(lines: DataFrame, entity: str, fields: Iterable[str] | None = None
 
 def malformed(lines: DataFrame, entity: str) -> DataFrame:
     """C4: the lines that are no JSON object of the entity's shape."""
-    return _parse(lines, entity, None, good=False).drop("doc")
+    return _parse(lines, entity, good=False).drop("doc")

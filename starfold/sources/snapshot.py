@@ -93,13 +93,28 @@ def scan(
     )
     capped = bool(max_records and max_records > 0)
     if capped:
-        ordered = ordered.orderBy("_ord").limit(max_records)
+        ordered = ordered.where(F.col("_ord") < _cut(ordered, max_records))
     # A gzip file is one task; few big files are shared out before the costly
     # parsing, while many files stay where they are and no text is moved.
     cores = spark.sparkContext.defaultParallelism
     return ordered.repartition(2 * cores) if capped or len(files) < cores else ordered
 
 
+def _cut(ordered: DataFrame, records: int) -> int:
+    """The place before which the first ``records`` lines stand.
+
+    Lines of a file have places without gaps, so a count and the first place per
+    file, which are metadata, tell where the cap falls; no line leaves its task.
+    """
+    per_file = ordered.groupBy(F.shiftright("_ord", _ROW_BITS)).agg(F.min("_ord").alias("first"), F.count(F.lit(1)).alias("n"))
+    left = records
+    for r in sorted(per_file.collect(), key=lambda r: r["first"]):
+        if left <= r["n"]:
+            return r["first"] + left
+        left -= r["n"]
+    return 1 << 62
+
+
 def merged_ids(spark: SparkSession, root: str, entity: str) -> DataFrame | None:
     """Short ids of records merged into others, from the snapshot or its parent."""
     parent = root.rstrip("/").rsplit("/", 1)[0]

@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from starfold.fixed import ID_URL_PREFIX as URL
 from starfold.functions import arrays as A
 from starfold.functions import text as X
-from starfold.operators.catalogue import Catalogue, missing
+from starfold.operators.catalogue import Catalogue, collect, missing
 from starfold.operators.checks import column_problems, null_keys, repeated_keys
 from starfold.operators.dense_ids import dense_ids
 from starfold.operators.diff import merge_outputs, table_diff
 from starfold.operators.first_wins import first_wins
 from starfold.plans.derived import shortened
+from starfold.plans.job import Options, report_frame, stage, uncatalogued
+from starfold.plans.registry import FEEDS
 from starfold.plans.tables import conform, output_columns
 from starfold.session import shared_folder, spread
 from starfold.sinks.delimited import formatted, save_catalogue, write_delimited
@@ -680,17 +682,57 @@ def scan_first_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_rows(scan(spark, event_snapshot(spark, sf_dir), "works", max_records=777))
 
 
+@query(
+    "q_scan_first_files",
+    f"SELECT event_id, {_DAY} AS day, event_type FROM events WHERE {_DAY} IN (SELECT DISTINCT {_DAY} AS d FROM events ORDER BY d LIMIT 5)",
+)
+def scan_first_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: the first files in scan order; one file a day here, so the first days."""
+    events = read(spark, sf_dir, "events").select(
+        F.to_json(F.struct(F.concat(F.lit("W"), "event_id").alias("id"), C("event_type").alias("type"))).alias("value"),
+        F.date_format("ts", "yyyy-MM-dd").alias("updated_date"),
+    )
+    root = fresh_folder(spark)
+    events.repartition("updated_date").write.option("compression", "gzip").partitionBy("updated_date").text(f"{root}/works")
+    return event_rows(scan(spark, root, "works", max_files=5))
+
+
 @query(
     "q_run_report",
-    "SELECT event_type AS entity, count(*) AS read, count(*) FILTER (WHERE event_id % 7 <> 0) AS processed, "
-    "count(*) FILTER (WHERE event_id % 7 = 0) AS skipped_merged FROM events GROUP BY 1",
+    "SELECT 'works' AS entity, count(*) AS read, count(*) FILTER (WHERE event_id % 11 <> 0 AND event_id % 7 <> 0) AS processed, "
+    "count(*) FILTER (WHERE event_id % 11 <> 0 AND event_id % 7 = 0) AS skipped_merged, count(*) FILTER (WHERE event_id % 11 = 0) AS malformed "
+    "FROM events",
 )
 def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts per kind."""
-    skipped = F.count_if(C("event_id") % 7 == 0)
-    return read(spark, sf_dir, "events").groupBy(C("event_type").alias("entity")).agg(
-        F.count(F.lit(1)).alias("read"), (F.count(F.lit(1)) - skipped).alias("processed"), skipped.alias("skipped_merged")
+    """What a staged entity reports, with every eleventh line cut short and every
+    seventh document merged into another."""
+    events = read(spark, sf_dir, "events")
+    line = F.to_json(F.struct(F.concat(F.lit("W"), "event_id").alias("id"), C("event_type").alias("type")))
+    lines = events.select(
+        F.when(C("event_id") % 11 == 0, F.substring(line, 1, 9)).otherwise(line).alias("value"), F.date_format("ts", "yyyy-MM-dd").alias("updated_date")
+    )
+    root = fresh_folder(spark)
+    lines.write.option("compression", "gzip").partitionBy("updated_date").text(f"{root}/works")
+    merged = events.where("event_id % 7 = 0").select(F.concat(F.lit(URL + "W"), "event_id").alias("id"))
+    merged.write.option("header", True).csv(f"{root}/merged_ids/works")
+    options = Options(root, f"{root}/out", f"{root}/ids", f"{root}/staged", entities=("works",), skip_merged=True)
+    return report_frame(spark, {"works": stage(spark, options, "works")[1]})
+
+
+@query(
+    "q_partial_catalogue",
+    "SELECT 'works' AS entity, 'work_type' AS catalogue, count(DISTINCT event_type) AS n FROM events WHERE event_type > (SELECT min(event_type) FROM events)",
+)
+def partial_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalogue saved from some documents, reused on all of them, says what it lacks."""
+    lines = read(spark, sf_dir, "events").select(
+        C("event_id").alias("_ord"), C("event_type"), F.to_json(F.struct(F.concat(F.lit("W"), "event_id").alias("id"), C("event_type").alias("type"))).alias("value")
     )
+    least = lines.agg(F.min("event_type")).first()[0]
+    folder = fresh_folder(spark)
+    part = documents(lines.where(C("event_type") == least).drop("event_type"), "works")
+    save_catalogue(collect({"works": part}, FEEDS), folder, ["works"])
+    return uncatalogued(spark, {"works": documents(lines.drop("event_type"), "works")}, load_catalogue(spark, folder))
 
 
 _EXPORTED = (
