@@ -4,12 +4,11 @@
    from here on, named by its smallest document id, so copies cost nothing more.
 2. Each class has a signature of ``bands * rows`` minimum hashes. Classes that agree on
    a whole band share a bucket.
-3. Links are sought where they can still matter. In a bucket every member is compared
-   with one member of it (rounds of stars); linked classes become one component; only
-   buckets that still hold several components go on. After the star rounds every two
-   members of a bucket that lie in different components are compared, inside blocks of
-   bounded size that give out nothing but links, so no link that could join two
-   components is missed and no table of pairs is formed.
+3. Links are sought where they can still matter. Every member of a bucket is compared
+   with its smallest; those linked to the same one form a component so far. Buckets that
+   still hold several components go on: every two members that lie in different ones are
+   compared, inside blocks of bounded size that give out nothing but links, so no link
+   that could join two components is missed and no table of pairs is formed.
 4. A pair is compared batch by batch of its signatures: after each batch the posterior
    of the similarity (uniform prior) says how likely it is to reach the threshold, and
    the pair is dropped below ``miss``. Survivors are verified on the full shingle sets.
@@ -150,7 +149,7 @@ def _linked_in(block: pd.DataFrame, hashes: int, rows: int, limits: list[tuple[i
     return out
 
 
-def links_between(members: DataFrame, sets: DataFrame, hashes: int, rows: int, limits: list[tuple[int, int]], similarity: int, chunk: int = 256) -> DataFrame:
+def links_between(members: DataFrame, sets: DataFrame, hashes: int, rows: int, limits: list[tuple[int, int]], similarity: int, chunk: int = 1024) -> DataFrame:
     """Links (a, b) that join the components of the buckets in ``members``. All pairs of
     different components are compared, inside blocks of bounded size; only links
     leave a block."""
@@ -171,7 +170,7 @@ def links_between(members: DataFrame, sets: DataFrame, hashes: int, rows: int, l
 
 
 def near_duplicates(
-    docs: DataFrame, *, size: int = SHINGLE, similarity: int = 75, bands: int = BANDS, rows: int = ROWS, batch: int = 16, miss: float = 1e-7, stars: int = 3,
+    docs: DataFrame, *, size: int = SHINGLE, similarity: int = 75, bands: int = BANDS, rows: int = ROWS, batch: int = 16, miss: float = 1e-7, star: bool = True,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document of ``docs`` (doc_id,
     text), linked where 100 * intersection >= ``similarity`` * union of shingle sets."""
@@ -224,31 +223,20 @@ def near_duplicates(
         full = full.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
         return durable(full.where(linked("x", "y")).select("a", "b"))
 
-    def joined(links: DataFrame, before: DataFrame | None) -> DataFrame:
-        """id and component after ``links`` have been added to what was linked ``before``."""
-        return durable(components(links if before is None else links.unionByName(before.select(F.col("component").alias("a"), F.col("id").alias("b")))))
-
-    stars_of = None  # id, component of classes linked so far
-    for turn in range(stars + 1):
-        now = buckets.withColumn("component", F.col("id")) if stars_of is None else buckets.join(stars_of, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        rank = F.xxhash64("id", "bucket", F.lit(turn)) if turn else F.col("id")
-        several = now.groupBy("bucket").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"), F.min(F.struct(rank.alias("rank"), "id", "component")).alias("centre"),
-        ).where("low <> high").select("bucket", F.col("centre.id").alias("centre"), F.col("centre.component").alias("of"))
-        now = now.join(several, "bucket")
-        if turn < stars:
-            pairs = durable(now.where("component <> of").select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct())
-            links = verified(pairs)
-        else:
-            links = durable(links_between(durable(now.select("bucket", "band", "id", "component")), sets, hashes, rows, limits, similarity))
-        if links.isEmpty():
-            continue
-        stars_of = joined(links, stars_of)
+    # One round of stars: every member against the smallest id of each of its buckets. Whoever
+    # is linked to the same smallest id needs no comparing; the rest meets in blocks.
+    several = buckets.groupBy("bucket").agg(F.min("id").alias("centre"))
+    against = buckets.join(several, "bucket").where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b"))
+    links = verified(durable(against.distinct())) if star else None
+    now = buckets.withColumn("component", F.col("id"))
+    if star:
+        nearest = links.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("component"))
+        now = buckets.join(nearest, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    mixed = now.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
+    rest = links_between(durable(now.join(mixed, "bucket")), sets, hashes, rows, limits, similarity)
+    stars_of = components(links.unionByName(rest) if star else rest)
     labelled = members.join(reps.select("class", F.col("id").alias("rep")), "class", "left")
-    if stars_of is not None:
-        labelled = labelled.join(stars_of.select(F.col("id").alias("rep"), "component"), "rep", "left")
-    else:
-        labelled = labelled.withColumn("component", F.col("rep"))
+    labelled = labelled.join(stars_of.select(F.col("id").alias("rep"), "component"), "rep", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "rep")).otherwise(F.col("doc_id"))
     out = labelled.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id") == F.col("component_id"))
     nameless = found.where("doc_id is null").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept"))

@@ -57,17 +57,16 @@ def corpus(seed, n=60):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("stars", [0, 1, 3])
-def test_same_as_all_pairs(spark, stars, monkeypatch):
+@pytest.mark.parametrize("star", [False, True])
+def test_same_as_all_pairs(spark, star, monkeypatch):
     rows = corpus(7)
-    monkeypatch.setattr(minhash._blocks, "__defaults__", ())
     monkeypatch.setattr(minhash.links_between, "__defaults__", (8,))  # many blocks per bucket
-    assert found(spark, rows, stars=stars) == plain(rows)
+    assert found(spark, rows, star=star) == plain(rows)
 
 
-def test_without_star_rounds_links_cross_blocks(spark):
+def test_without_stars_links_cross_blocks(spark):
     rows = corpus(8, 40)
-    assert found(spark, rows, stars=0) == plain(rows)
+    assert found(spark, rows, star=False) == plain(rows)
 
 
 def test_repeats_nulls_and_empty(spark):
