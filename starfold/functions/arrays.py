@@ -78,17 +78,20 @@ def text_from_positions(index: Column) -> Column:
             ),
         )
 
-    placed = F.flatten(
-        F.transform(
-            last_listed(F.map_entries(index)),
-            lambda e, i: F.transform(
-                F.coalesce(e["value"], F.array().cast("array<int>")),
-                lambda p: F.struct(p.alias("pos"), i.alias("rank"), e["key"].alias("token")),
-            ),
+    def ordered(entries: Column) -> Column:
+        # Only positions and ranks are sorted; tokens are fetched afterwards.
+        placed = F.flatten(
+            F.transform(
+                entries,
+                lambda e, i: F.transform(
+                    F.coalesce(e["value"], F.array().cast("array<int>")), lambda p: F.struct(p.alias("pos"), i.alias("rank"))
+                ),
+            )
         )
-    )
-    winners = let(
-        F.sort_array(placed),
-        lambda s: F.filter(s, lambda e, j: F.coalesce(F.get(s, j + 1)["pos"] != e["pos"], F.lit(True))),
-    )
-    return F.array_join(F.transform(winners, lambda e: e["token"]), " ")
+        winners = let(
+            F.sort_array(placed),
+            lambda s: F.filter(s, lambda e, j: F.coalesce(F.get(s, j + 1)["pos"] != e["pos"], F.lit(True))),
+        )
+        return F.transform(winners, lambda e: F.get(entries, e["rank"])["key"])
+
+    return F.array_join(let(last_listed(F.map_entries(index)), ordered), " ")
