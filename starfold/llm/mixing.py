@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from starfold.session import durable
 
 DOMAINS = ("clean", "poor", "toxic")
-TARGETS = {"clean": 0.96, "poor": 0.03, "toxic": 0.01}
+TARGETS = {"clean": 0.95, "poor": 0.03, "toxic": 0.02}
 #: What separates words: blanks, and marks that cling to them.
 _BETWEEN = " \t\n\x0b\x0c\r.,;:!?\"()*#%&$|<>"
 
@@ -69,22 +69,29 @@ def described(docs: DataFrame) -> DataFrame:
     )
 
 
+#: A document has none, one, two or at least this many telling features of a domain.
+LEVELS = 3
+
+
+def level(features: Column, telling: tuple[str, ...]) -> Column:
+    return F.least(F.size(F.array_intersect(features, F.array(*map(F.lit, telling)))), F.lit(LEVELS))
+
+
 @dataclass(frozen=True)
 class Classifier:
-    """Per domain: a constant, and what each feature that is present adds to it."""
+    """Naive Bayes over how many telling features of each domain a document has: the
+    log prior, the features that tell of each domain, and log P(level | domain)."""
 
-    constant: tuple[float, ...]
-    weights: dict[str, tuple[float, ...]]
+    prior: tuple[float, ...]
+    telling: tuple[tuple[str, ...], ...]
+    levels: tuple[tuple[tuple[float, ...], ...], ...]
 
     def posteriors(self, features: Column) -> Column:
-        """Array of the posteriors, in the order of the domains."""
-        zero = F.array(*[F.lit(c) for c in self.constant])
-        logs = zero
-        if self.weights:
-            table = F.create_map(*[x for w, v in self.weights.items() for x in (F.lit(w), F.array(*map(F.lit, v)))])
-            present = F.array_intersect(features, F.array(*map(F.lit, self.weights)))
-            logs = F.aggregate(present, zero, lambda total, w: F.zip_with(total, F.element_at(table, w), lambda a, b: a + b))
-        return logs
+        """Array of the log posteriors up to a constant, in the order of the domains."""
+        found = [(level(features, words), table) for words, table in zip(self.telling, self.levels, strict=True) if words]
+        return F.array(*[
+            sum((F.get(F.array(*[F.lit(of[k]) for of in table]), n) for n, table in found), F.lit(self.prior[k])) for k in range(len(DOMAINS))
+        ])
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, words: int = 48, least: int = 10, sure: float = 60.0) -> Classifier:
@@ -111,15 +118,19 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, words: int =
         return F.when(a * d > b * c, total * F.pow(a * d - b * c, 2) / ((a + b) * (c + d) * F.lit(float(max(n[k], 1))) * F.lit(float(max(total - n[k], 1))) + 1e-9))
 
     held = durable(held.where(have >= least))
-    picked: dict[str, list[int]] = {}
-    for k in range(1, len(DOMAINS)):
-        for r in held.where(telling(k) >= sure).orderBy(F.desc(telling(k)), "word").limit(words).collect():
-            picked[r["word"]] = [r[d] for d in DOMAINS]
-    shares = {w: [(c + 0.5) / (m + 1) for c, m in zip(counts, n, strict=True)] for w, counts in picked.items()}
-    # only what is present speaks: the features of a domain come together, so that each
-    # one missing would count against it many times over
-    constant = tuple(log((n[k] + 1) / (total + len(DOMAINS))) for k in range(len(DOMAINS)))
-    return Classifier(constant, {w: tuple(map(log, s)) for w, s in shares.items()})
+    telling_words = tuple(
+        tuple(r["word"] for r in held.where(telling(k) >= sure).orderBy(F.desc(telling(k)), "word").limit(words).collect()) if k else ()
+        for k in range(len(DOMAINS))
+    )
+    # How many of a domain's features a document has is one piece of evidence: they come
+    # together, and each for itself would count many times over.
+    levels = []
+    for own in telling_words:
+        counts = rows.groupBy("domain", (level(F.col("features"), own) if own else F.lit(0)).alias("level")).agg(F.count("*").alias("n"))
+        seen = {(r["domain"], r["level"]): r["n"] for r in counts.collect()}
+        levels.append(tuple(tuple(log((seen.get((k, v), 0) + 0.1) / (n[k] + 0.1 * (LEVELS + 1))) for k in range(len(DOMAINS))) for v in range(LEVELS + 1)))
+    prior = tuple(log((m + 1) / (total + len(DOMAINS))) for m in n)
+    return Classifier(prior, telling_words, tuple(levels))
 
 
 def softmax(logs: Column) -> list[Column]:
