@@ -1,8 +1,12 @@
 """Mixing documents to target weights of soft domains, with DataFrame functions only.
 
-A labelled table defines the domains; a naive Bayes classifier over telling words and
-marks predicts, for every document, the posterior of each domain. Rates r >= 0 per
-document are then fitted so that the expected tokens of each domain,
+A labelled table defines the domains; a smoothed naive Bayes classifier over all telling
+words and marks, by their presence and absence, predicts the posterior of each domain for
+every document. A feature is telling if chance does not explain how often it occurs in a
+domain; the bound on that chance holds for samples of any size, and the share of false
+ones among those found is held at ``false``, whatever the vocabulary. Their number is not
+bounded: their weights are a table, broadcast only when its measured bytes are small.
+Rates r >= 0 per document are then fitted so that the expected tokens of each domain,
 sum(r * tokens * posterior), meet the targets: projected gradient descent on
 
     sum over domains of (share reached - target)^2 / natural share
@@ -27,11 +31,12 @@ gives no rows.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from math import log
+from math import exp, log
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starfold.operators.joins import known_small, text_bytes
 from starfold.session import durable
 
 DOMAINS = ("clean", "poor", "toxic")
@@ -69,34 +74,79 @@ def described(docs: DataFrame) -> DataFrame:
     )
 
 
-#: A document has none, one, two or at least this many telling features of a domain.
-LEVELS = 3
-
-
-def level(features: Column, telling: tuple[str, ...]) -> Column:
-    return F.least(F.size(F.array_intersect(features, F.array(*map(F.lit, telling)))), F.lit(LEVELS))
+#: Stands for the document itself among its features; the blank keeps it apart from words.
+_SELF = " self"
+_WEIGHTS = [f"w_{d}" for d in DOMAINS]
+#: Scores are counted in steps of one over this, up to the last step.
+_STEPS, _LAST = 2, 1200
 
 
 @dataclass(frozen=True)
 class Classifier:
-    """Naive Bayes over how many telling features of each domain a document has: the
-    log prior, the features that tell of each domain, and log P(level | domain)."""
-
-    prior: tuple[float, ...]
-    telling: tuple[tuple[str, ...], ...]
-    levels: tuple[tuple[tuple[float, ...], ...], ...]
-
-    def posteriors(self, features: Column) -> Column:
-        """Array of the log posteriors up to a constant, in the order of the domains."""
-        found = [(level(features, words), table) for words, table in zip(self.telling, self.levels, strict=True) if words]
-        return F.array(*[
-            sum((F.get(F.array(*[F.lit(of[k]) for of in table]), n) for n, table in found), F.lit(self.prior[k])) for k in range(len(DOMAINS))
-        ])
-
-
-def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, words: int = 48, least: int = 10, sure: float = 60.0) -> Classifier:
-    """Naive Bayes on the ``words`` features that speak best for each domain; they must occur
-    ``least`` times and have a chi-square of ``sure``, beyond what chance gives a vocabulary."""
+    """Naive Bayes over the telling features: what a document without any has as log
+    probability of each domain, and a table of ``feature`` and what it adds to each."""
+
+    bias: tuple[float, ...]
+    weights: DataFrame
+
+    def scored(self, docs: DataFrame, seed: int) -> DataFrame:
+        """A row for every distinct id and text of ``docs`` (doc_id, text), named by `` id``
+        and two hashes of the text: how many `` rows`` it has, `` tokens``, `` draw`` (uniform,
+        from a hash of id and text) and the posterior of each domain."""
+        draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+        cut = described(docs.select("doc_id", "text", draw.alias("draw")))
+        row = F.col(" row")
+        keyed = cut.select(
+            row.getField("doc_id").alias(" id"), *[h.alias(n) for n, h in _hashes(row.getField("text")).items()], " tokens", row.getField("draw").alias(" draw"),
+            F.explode(F.concat(" features", F.array(F.lit(_SELF)))).alias("feature"),
+        )
+        own = self.weights.sparkSession.createDataFrame([(_SELF, *self.bias)], self.weights.schema)
+        table = self.weights.unionByName(own)
+        if text_bytes(table, "feature") <= known_small(table.sparkSession):
+            table = F.broadcast(table)
+        sums = keyed.join(table, "feature").groupBy(*_KEY).agg(
+            F.sum((F.col("feature") == _SELF).cast("long")).alias(" rows"), F.first(" tokens").alias(" tokens"), F.first(" draw").alias(" draw"),
+            *[F.sum(w).alias(w) for w in _WEIGHTS],
+        )
+        logs = F.array(*[F.col(w) / F.col(" rows") for w in _WEIGHTS])
+        return sums.select(*_KEY, " rows", " tokens", " draw", *[p.alias(f" {d}") for d, p in zip(DOMAINS, softmax(logs), strict=True)])
+
+
+_KEY = [" id", " h1", " h2"]
+
+
+def _hashes(text: Column) -> dict[str, Column]:
+    return {" h1": F.xxhash64(text), " h2": F.xxhash64(F.lit(1), text)}
+
+
+def _surprise(own: Column, have: Column, share: float) -> Column:
+    """Chernoff's bound, as -log, on the chance that ``own`` or more of the ``have``
+    documents with a feature are of a domain with that share of the sample."""
+    rest = have - own
+
+    def part(n: Column, p: float) -> Column:
+        return F.when(n > 0, n * F.log(n / (have * p))).otherwise(0.0)
+
+    return F.when(own > have * share, part(own, share) + part(rest, 1 - share)).otherwise(0.0)
+
+
+def _threshold(held: DataFrame, score: Column, reach: Column, false: float) -> float | None:
+    """The least score at which the features that chance would bring so far are at most
+    ``false`` of those found. Only those count as brought by chance that could reach the
+    score at all, were they in no other domain."""
+    counts = []
+    for value in (score, reach):
+        step = F.least(F.floor(value * _STEPS), F.lit(_LAST)).cast("int").alias("step")
+        own = [0] * (_LAST + 1)
+        for r in held.groupBy(step).agg(F.count("*").alias("n")).collect():
+            own[r["step"]] = r["n"]
+        counts.append([sum(own[t:]) for t in range(_LAST + 1)])
+    return next((t / _STEPS for t, (found, able) in enumerate(zip(*counts, strict=True)) if found and able * exp(-t / _STEPS) <= false * found), None)
+
+
+def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, false: float = 0.1, smooth: float = 0.1) -> Classifier:
+    """Naive Bayes on every feature that tells of a domain other than the first, ``smooth``
+    added to the documents with and without it."""
     label = F.when(F.max("toxic") == 1, 2).when(F.min("quality") == 0, 1).when(F.max("quality") == 1, 0)
     known = labels.where("doc_id is not null").groupBy("doc_id").agg(label.alias("domain")).where("domain is not null")
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
@@ -106,31 +156,23 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, words: int =
     sizes = {r["domain"]: r["n"] for r in rows.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     n = [sizes.get(k, 0) for k in range(len(DOMAINS))]
     total = sum(n)
-    held = rows.select("domain", F.explode("features").alias("word")).groupBy("word").agg(
+    held = durable(rows.select("domain", F.explode("features").alias("feature")).groupBy("feature").agg(
         *[F.sum((F.col("domain") == k).cast("int")).alias(d) for k, d in enumerate(DOMAINS)]
-    )
-    have = sum((F.col(d) for d in DOMAINS), F.lit(0))
-
-    def telling(k: int) -> Column:
-        """Chi-square of having the feature and being of domain ``k``, if it speaks for it."""
-        a, b = F.col(DOMAINS[k]).cast("double"), (have - F.col(DOMAINS[k])).cast("double")
-        c, d = n[k] - a, (total - n[k]) - b
-        return F.when(a * d > b * c, total * F.pow(a * d - b * c, 2) / ((a + b) * (c + d) * F.lit(float(max(n[k], 1))) * F.lit(float(max(total - n[k], 1))) + 1e-9))
-
-    held = durable(held.where(have >= least))
-    telling_words = tuple(
-        tuple(r["word"] for r in held.where(telling(k) >= sure).orderBy(F.desc(telling(k)), "word").limit(words).collect()) if k else ()
-        for k in range(len(DOMAINS))
-    )
-    # How many of a domain's features a document has is one piece of evidence: they come
-    # together, and each for itself would count many times over.
-    levels = []
-    for own in telling_words:
-        counts = rows.groupBy("domain", (level(F.col("features"), own) if own else F.lit(0)).alias("level")).agg(F.count("*").alias("n"))
-        seen = {(r["domain"], r["level"]): r["n"] for r in counts.collect()}
-        levels.append(tuple(tuple(log((seen.get((k, v), 0) + 0.1) / (n[k] + 0.1 * (LEVELS + 1))) for k in range(len(DOMAINS))) for v in range(LEVELS + 1)))
-    prior = tuple(log((m + 1) / (total + len(DOMAINS))) for m in n)
-    return Classifier(prior, telling_words, tuple(levels))
+    ))
+    have = sum((F.col(d) for d in DOMAINS[1:]), F.col(DOMAINS[0]))
+    telling = F.lit(False)
+    for k, d in enumerate(DOMAINS):
+        if k and 0 < n[k] < total:
+            score = _surprise(F.col(d), have, n[k] / total)
+            least = _threshold(held, score, have * -log(n[k] / total), false)
+            telling = telling if least is None else telling | (score >= least)
+    with_it = [(F.col(d) + smooth) / (n[k] + 2 * smooth) for k, d in enumerate(DOMAINS)]
+    weights = durable(held.where(telling).select(
+        "feature", *[F.log(p / (1 - p)).alias(w) for p, w in zip(with_it, _WEIGHTS, strict=True)], *[F.log(1 - p).alias(d) for p, d in zip(with_it, DOMAINS, strict=True)],
+    ))
+    absent = weights.agg(*[F.coalesce(F.sum(d), F.lit(0.0)) for d in DOMAINS]).first()
+    bias = tuple(log((m + 1) / (total + len(DOMAINS))) + b for m, b in zip(n, absent, strict=True))
+    return Classifier(bias, weights.select("feature", *_WEIGHTS))
 
 
 def softmax(logs: Column) -> list[Column]:
@@ -181,14 +223,6 @@ def fit(rows: DataFrame, targets: dict[str, float], ridge: float = 1e-3, most: f
     return Rates(tuple(pulls), ridge, most)
 
 
-def _scored(docs: DataFrame, model: Classifier, seed: int) -> DataFrame:
-    """`` row``, `` tokens``, `` draw`` (uniform, from a hash of id and text) and the posterior
-    of each domain."""
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.col(" row").getField("doc_id"), F.col(" row").getField("text")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    logs = described(docs).select(" row", " tokens", draw.alias(" draw"), model.posteriors(F.col(" features")).alias(" logs"))
-    return logs.select(" row", " tokens", " draw", *[p.alias(f" {d}") for d, p in zip(DOMAINS, softmax(F.col(" logs")), strict=True)])
-
-
 def _with_copies(scored: DataFrame, rates: Rates) -> DataFrame:
     """`` rate`` and `` copies``: the whole part of the rate, and one more with the chance
     of the rest."""
@@ -197,24 +231,24 @@ def _with_copies(scored: DataFrame, rates: Rates) -> DataFrame:
     return out.withColumn(" copies", F.floor(" rate") + more)
 
 
-def _fitted(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None, sample: int, most: float, seed: int) -> tuple[Classifier, DataFrame, Rates]:
-    model = train(docs, labels, sample)
-    narrow = durable(_scored(docs.select("doc_id", "text"), model, seed).withColumn(" row", F.col(" row").dropFields("text")))
-    rows = narrow.select(F.col(" tokens").alias("tokens"), *[F.col(f" {d}").alias(d) for d in DOMAINS])
-    return model, narrow, fit(rows, targets or TARGETS, most=most)
+def _fitted(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None, sample: int, most: float, seed: int) -> DataFrame:
+    """A row for every distinct id and text, with its rate and copies."""
+    narrow = durable(train(docs, labels, sample).scored(docs, seed))
+    rows = narrow.select((F.col(" tokens") * F.col(" rows")).alias("tokens"), *[F.col(f" {d}").alias(d) for d in DOMAINS])
+    return _with_copies(narrow, fit(rows, targets or TARGETS, most=most))
 
 
 def rated(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, *, sample: int = 20_000, most: float = 4.0, seed: int = 17) -> DataFrame:
     """`` row`` (with doc_id), `` tokens``, the posterior of each domain (its name after a
     blank), `` rate`` and `` copies`` of every row of ``docs``."""
-    _, narrow, rates = _fitted(docs, labels, targets, sample, most, seed)
-    return _with_copies(narrow, rates)
+    every = _fitted(docs, labels, targets, sample, most, seed).withColumn(" row", F.explode(F.array_repeat(F.struct(F.col(" id").alias("doc_id")), F.col(" rows").cast("int"))))
+    return every.select(" row", " tokens", " draw", *[f" {d}" for d in DOMAINS], " rate", " copies")
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, *, sample: int = 20_000, most: float = 4.0, seed: int = 17) -> DataFrame:
     """``docs`` with every row as often as its rate says; never more than once with ``most`` = 1."""
-    model, _, rates = _fitted(docs, labels, targets, sample, most, seed)
-    out = _with_copies(_scored(docs, model, seed), rates)
-    # a test of the copies themselves would be pushed below their making, which is dear
-    out = out.select(" row", F.explode_outer(F.array_repeat(F.lit(True), F.col(" copies").cast("int"))).alias(" copy")).where(F.col(" copy"))
+    copies = _fitted(docs, labels, targets, sample, most, seed).where(F.col(" copies") > 0).select(*_KEY, F.array_repeat(F.lit(True), F.col(" copies").cast("int")).alias(" copies"))
+    rows = docs.select(F.struct(*docs.columns).alias(" row"), F.col("doc_id").alias(" own"), *[h.alias(f"{n} own") for n, h in _hashes(F.col("text")).items()])
+    on = F.col(" own").eqNullSafe(F.col(" id")) & (F.col(" h1 own") == F.col(" h1")) & (F.col(" h2 own") == F.col(" h2"))
+    out = rows.join(copies, on).select(" row", F.explode(" copies"))
     return out.select(*[F.col(" row").getField(c).alias(c) for c in docs.columns])

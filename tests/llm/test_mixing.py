@@ -71,3 +71,17 @@ def test_native(spark):
     docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
     plan = mixing.mix(docs, labels)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_few_labels_and_many_telling_words(spark):
+    """Seven of sixty labelled documents tell by one word; in a larger sample, 120 words do."""
+    def posteriors(texts, toxic):
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        labels = spark.createDataFrame([(i, 1, int(t)) for i, t in enumerate(toxic)], "doc_id long, quality int, toxic int")
+        rows = mixing.rated(docs, labels).collect()
+        return {r[" row"].doc_id: r[" toxic"] for r in rows}
+
+    few = posteriors([f"plain text w{i}" + (" scum" if i < 7 else "") for i in range(60)], [i < 7 for i in range(60)])
+    assert min(few[i] for i in range(7)) > 0.9 and max(few[i] for i in range(7, 60)) < 0.1
+    many = posteriors([f"plain text w{i}" + (f" bad{i % 120}" if i < 720 else "") for i in range(4000)], [i < 720 for i in range(4000)])
+    assert min(many[i] for i in range(720)) > 0.9
