@@ -30,6 +30,7 @@ gives no rows.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 from math import exp, log
 
@@ -40,7 +41,7 @@ from starfold.operators.joins import known_small, text_bytes
 from starfold.session import durable
 
 DOMAINS = ("clean", "poor", "toxic")
-TARGETS = {"clean": 0.95, "poor": 0.03, "toxic": 0.02}
+TARGETS = {"clean": 0.96, "poor": 0.03, "toxic": 0.01}
 #: What separates words: blanks, and marks that cling to them.
 _BETWEEN = " \t\n\x0b\x0c\r.,;:!?\"()*#%&$|<>"
 
@@ -184,11 +185,18 @@ def softmax(logs: Column) -> list[Column]:
 
 @dataclass(frozen=True)
 class Rates:
-    """What the descent has gathered: per step, the pull of each domain."""
+    """What the descent has gathered: per step, the pull of each domain; and the tokens
+    of each domain, in shares of all that came in, as they were wanted and are reached."""
 
     pulls: tuple[tuple[float, ...], ...]
     ridge: float
     most: float
+    wanted: tuple[float, ...] = ()
+    reached: tuple[float, ...] = ()
+
+    def missed(self, by: float = 5e-3) -> dict[str, tuple[float, float]]:
+        """Wanted and reached of the domains that are off by more than ``by``."""
+        return {d: (w, r) for d, w, r in zip(DOMAINS, self.wanted, self.reached) if abs(w - r) > by}
 
     def rate(self, posteriors: list[str], start: str = "1.0D", since: int = 0) -> str:
         """The rate as SQL over the names of the posteriors, from ``start`` after ``since`` steps."""
@@ -220,7 +228,10 @@ def fit(rows: DataFrame, targets: dict[str, float], ridge: float = 1e-3, most: f
         before, reached = reached, [v / whole for v in rows.select("tokens", *DOMAINS, rate.alias("rate")).agg(*[F.sum(tokens * F.col("rate") * F.col(d)) for d in DOMAINS]).first()]
         if max(abs(a - b) for a, b in zip(reached, before, strict=True)) < close:
             break
-    return Rates(tuple(pulls), ridge, most)
+    rates = Rates(tuple(pulls), ridge, most, tuple(wanted), tuple(reached))
+    for domain, (want, have) in rates.missed().items():
+        warnings.warn(f"mixing: {domain} reaches {have:.4f} of the tokens instead of {want:.4f}", stacklevel=2)
+    return rates
 
 
 def _with_copies(scored: DataFrame, rates: Rates) -> DataFrame:

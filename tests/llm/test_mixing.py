@@ -21,7 +21,7 @@ def descent(tokens, p, wanted, ridge, most, steps=40, close=1e-5):
 
 @pytest.mark.parametrize("most", [1.0, 4.0])
 def test_rates_on_the_documents(spark, most):
-    folder = "/root/testdata/sf0.1"
+    folder = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
     rows = mixing.rated(docs, labels, most=most).toPandas()
     assert len(rows) == docs.count()
@@ -85,3 +85,12 @@ def test_few_labels_and_many_telling_words(spark):
     assert min(few[i] for i in range(7)) > 0.9 and max(few[i] for i in range(7, 60)) < 0.1
     many = posteriors([f"plain text w{i}" + (f" bad{i % 120}" if i < 720 else "") for i in range(4000)], [i < 720 for i in range(4000)])
     assert min(many[i] for i in range(720)) > 0.9
+
+
+def test_missed_targets_are_reported(spark):
+    rows = spark.createDataFrame([(100, 0.7, 0.2, 0.1), (100, 0.9, 0.05, 0.05)], "tokens long, clean double, poor double, toxic double")
+    with pytest.warns(UserWarning, match="toxic reaches"):
+        rates = mixing.fit(rows, {"clean": 0.96, "poor": 0.03, "toxic": 0.01})
+    assert set(rates.missed()) >= {"toxic"} and len(rates.reached) == 3
+    half = spark.createDataFrame([(100, 1.0, 0.0, 0.0), (100, 0.0, 1.0, 0.0), (100, 0.0, 0.0, 1.0)], rows.schema)
+    assert mixing.fit(half, {"clean": 0.96, "poor": 0.03, "toxic": 0.01}).missed() == {}
