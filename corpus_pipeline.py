@@ -34,7 +34,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs, _labels(spark, sf_dir), most=1.0)
+    return mixing.mix(docs, _labels(spark, sf_dir), most=1.0, of_kept=True)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -207,16 +207,21 @@ class Rates:
         return r
 
 
-def fit(rows: DataFrame, targets: dict[str, float], ridge: float = 1e-3, most: float = 4.0, steps: int = 40, close: float = 1e-5, keep: int = 8) -> Rates:
+def fit(rows: DataFrame, targets: dict[str, float], ridge: float = 1e-3, most: float = 4.0, steps: int = 40, close: float = 1e-5, keep: int = 8, of_kept: bool = False) -> Rates:
     """Rates for ``rows`` (tokens and one posterior column per domain) by projected
     gradient descent; every step is one aggregate over narrow rows, which are written
-    down with their rates after every ``keep`` steps."""
+    down with their rates after every ``keep`` steps. The targets are shares of the tokens
+    that come in or, with ``of_kept``, of those that are kept: if a domain cannot reach its
+    share of all tokens at the highest rate, all targets shrink alike until it can."""
     tokens = F.col("tokens").cast("double")
     weight = sum(targets.values())
     wanted = [targets[d] / weight for d in DOMAINS]
     whole, *natural = rows.agg(F.sum(tokens), *[F.sum(tokens * F.col(d)) for d in DOMAINS]).first()
     if not whole:
         return Rates((), ridge, most)
+    if of_kept:
+        total = min([1.0, *[most * v / whole / w for v, w in zip(natural, wanted, strict=True) if w]])
+        wanted = [w * total for w in wanted]
     scale = [max(v / whole, 1e-6) for v in natural]
     reached, pulls = [v / whole for v in natural], []
     rows = rows.withColumn("rate", F.lit(1.0))
@@ -242,23 +247,23 @@ def _with_copies(scored: DataFrame, rates: Rates) -> DataFrame:
     return out.withColumn(" copies", F.floor(" rate") + more)
 
 
-def _fitted(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None, sample: int, most: float, seed: int) -> DataFrame:
+def _fitted(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None, sample: int, most: float, seed: int, of_kept: bool) -> DataFrame:
     """A row for every distinct id and text, with its rate and copies."""
     narrow = durable(train(docs, labels, sample).scored(docs, seed))
     rows = narrow.select((F.col(" tokens") * F.col(" rows")).alias("tokens"), *[F.col(f" {d}").alias(d) for d in DOMAINS])
-    return _with_copies(narrow, fit(rows, targets or TARGETS, most=most))
+    return _with_copies(narrow, fit(rows, targets or TARGETS, most=most, of_kept=of_kept))
 
 
-def rated(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, *, sample: int = 20_000, most: float = 4.0, seed: int = 17) -> DataFrame:
+def rated(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, *, sample: int = 20_000, most: float = 4.0, seed: int = 17, of_kept: bool = False) -> DataFrame:
     """`` row`` (with doc_id), `` tokens``, the posterior of each domain (its name after a
     blank), `` rate`` and `` copies`` of every row of ``docs``."""
-    every = _fitted(docs, labels, targets, sample, most, seed).withColumn(" row", F.explode(F.array_repeat(F.struct(F.col(" id").alias("doc_id")), F.col(" rows").cast("int"))))
+    every = _fitted(docs, labels, targets, sample, most, seed, of_kept).withColumn(" row", F.explode(F.array_repeat(F.struct(F.col(" id").alias("doc_id")), F.col(" rows").cast("int"))))
     return every.select(" row", " tokens", " draw", *[f" {d}" for d in DOMAINS], " rate", " copies")
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, *, sample: int = 20_000, most: float = 4.0, seed: int = 17) -> DataFrame:
+def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, *, sample: int = 20_000, most: float = 4.0, seed: int = 17, of_kept: bool = False) -> DataFrame:
     """``docs`` with every row as often as its rate says; never more than once with ``most`` = 1."""
-    copies = _fitted(docs, labels, targets, sample, most, seed).where(F.col(" copies") > 0).select(*_KEY, F.array_repeat(F.lit(True), F.col(" copies").cast("int")).alias(" copies"))
+    copies = _fitted(docs, labels, targets, sample, most, seed, of_kept).where(F.col(" copies") > 0).select(*_KEY, F.array_repeat(F.lit(True), F.col(" copies").cast("int")).alias(" copies"))
     rows = docs.select(F.struct(*docs.columns).alias(" row"), F.col("doc_id").alias(" own"), *[h.alias(f"{n} own") for n, h in _hashes(F.col("text")).items()])
     on = F.col(" own").eqNullSafe(F.col(" id")) & (F.col(" h1 own") == F.col(" h1")) & (F.col(" h2 own") == F.col(" h2"))
     out = rows.join(copies, on).select(" row", F.explode(" copies"))

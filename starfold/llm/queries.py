@@ -83,7 +83,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = mixing.rated(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    rows = mixing.rated(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"), of_kept=True)
     posteriors = [F.round(F.col(f" {d}"), 9).alias(f"p_{d}") for d in mixing.DOMAINS]
     return rows.select(F.col(" row.doc_id").alias("doc_id"), F.col(" tokens").alias("n_tokens"), *posteriors, F.round(" rate", 6).alias("rate"), F.col(" copies").alias("copies"))
 

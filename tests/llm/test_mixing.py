@@ -94,3 +94,11 @@ def test_missed_targets_are_reported(spark):
     assert set(rates.missed()) >= {"toxic"} and len(rates.reached) == 3
     half = spark.createDataFrame([(100, 1.0, 0.0, 0.0), (100, 0.0, 1.0, 0.0), (100, 0.0, 0.0, 1.0)], rows.schema)
     assert mixing.fit(half, {"clean": 0.96, "poor": 0.03, "toxic": 0.01}).missed() == {}
+
+
+def test_kept_tokens_have_the_weights(spark):
+    rows = spark.createDataFrame([(60, 1.0, 0.0, 0.0), (20, 0.0, 1.0, 0.0), (20, 0.0, 0.0, 1.0)], "tokens long, clean double, poor double, toxic double")
+    for most, kept in ((1.0, 0.6 / 0.96), (4.0, 1.0)):
+        reached = np.array(mixing.fit(rows, mixing.TARGETS, most=most, of_kept=True).reached)
+        assert np.allclose(reached / reached.sum(), [mixing.TARGETS[d] for d in mixing.DOMAINS], atol=2e-3)
+        assert abs(reached.sum() - kept) < 5e-3
