@@ -4,7 +4,9 @@ functions only.
 A line goes when an earlier line of the corpus (by document id, then line number) is
 equal to it, or differs by one edit (a character put in, left out or replaced) and both
 have at least ``least`` characters; that the earlier line may go too does not matter.
-Lines without a word are left alone.
+Lines without a word are left alone. With ``share``, it also goes when it differs from an
+earlier one by one word (put in, left out or replaced) and by at most that share of its
+characters as edits, two at least.
 
 Two lines are one edit apart exactly if leaving out one character makes them equal:
 from both at the same place (replaced), or from the longer one only (put in). Every
@@ -20,6 +22,10 @@ the half, for a range of lengths), then on all but one eighth (key: hash of the
 for the length), and only the remaining eighth is varied. Both tests can only let
 too much through, never too little.
 
+One word is looked for in the same way with words as the units: lines that share a half of
+their words with another line (``word_halves``) emit themselves without one word, hashed
+(``word_variants``), and the edit distance is verified on the texts.
+
 Defined cases: null text and null ids take no part and stay as they are; rows that
 repeat an id and text keep and lose the same lines; texts that share an id but differ
 are told apart by their hash; the longest line is handled like any other, one key per
@@ -104,7 +110,62 @@ def variants(keyed: DataFrame) -> DataFrame:
     return keyed.select("place", emitted.alias("e")).select("place", "e.variant", "e.role")
 
 
-def dropped_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
+def word_halves(line: Column) -> Column:
+    """Hashes of the first and the last half of the words, for their number and, as the
+    longer one of a pair, for the number below."""
+    words = F.split(line, " ", -1)
+    n, out = F.size(words), []
+    for longer in (0, 1):
+        size = n - longer
+        half = F.floor(size / 2).cast("int")
+        out.append(F.xxhash64(size, F.lit(0), F.slice(words, F.lit(1), half)))
+        out.append(F.xxhash64(size, F.lit(1), F.slice(words, n - (size - half) + 1, size - half)))
+    return F.array_distinct(F.array(*out))
+
+
+def word_variants(lines: DataFrame) -> DataFrame:
+    """``lines`` (place, line) without one word each, in the roles of ``variants``."""
+    words = F.split("line", " ", -1)
+    n = F.size(words)
+
+    def hashed(tag: Column, size: Column, left: Column, role: int) -> Column:
+        return F.struct(F.xxhash64(tag, size, left).alias("variant"), F.lit(role).alias("role"))
+
+    def without(i: Column) -> Column:
+        return F.concat(F.slice(words, F.lit(1), i - 1), F.slice(words, i + 1, n))
+
+    places = F.sequence(F.lit(1), n)
+    every = F.concat(
+        F.array(hashed(F.lit(0), n, words, 0)), F.transform(places, lambda i: hashed(F.lit(0), n - 1, without(i), 1)),
+        F.transform(places, lambda i: hashed(i, n, without(i), 2)),
+    )
+    return lines.select("place", F.explode(every).alias("e")).select("place", "e.variant", "e.role").distinct()
+
+
+def candidates(varied: DataFrame) -> DataFrame:
+    """Places and the earliest one with which they share a variant, in fitting roles."""
+    groups = varied.groupBy("variant").agg(
+        F.min(F.when(F.col("role") != 1, F.col("place"))).alias("anchor"), F.min(F.when(F.col("role") == 1, F.col("place"))).alias("longer"),
+        F.min("place").alias("low"), F.max("place").alias("high"),
+    ).where("low <> high").select("variant", "anchor", "longer")
+    earlier = F.when(F.col("role") == 0, F.col("longer")).otherwise(F.col("anchor"))
+    return varied.join(groups, "variant").select("place", earlier.alias("kept")).where("kept < place").distinct()
+
+
+def near_by_word(found: DataFrame, firsts: DataFrame, least: int, share: float) -> DataFrame:
+    """Lines that differ by one word from an earlier one, that one and the edits."""
+    long = found.where(F.col("n") >= least)
+    halves = long.select(*_LINE, F.explode(word_halves(F.col("line"))).alias("key"))
+    likely = shared(halves).select(*_LINE).distinct().join(firsts, _LINE).select(*_LINE, "place.*")
+    texts = durable(long.join(likely, [*_LINE, *_PLACE]).select(F.struct(*_PLACE).alias("place"), *_LINE, "n", "line").dropDuplicates(_LINE))
+    pairs = candidates(durable(word_variants(texts)))
+    pairs = pairs.join(texts, "place").join(texts.select(F.col("place").alias("kept"), F.col("line").alias("other")), "kept")
+    bound = f"cast(greatest(2, floor(n * {share!r}D)) as int)"
+    edits = F.expr(f"levenshtein(line, other, {bound})")
+    return pairs.select(*_LINE, F.struct("kept", edits.alias("edits")).alias("near")).where("near.edits >= 0")
+
+
+def dropped_lines(docs: DataFrame, least: int = LEAST, share: float = 0.0) -> DataFrame:
     """A row for every line that goes: its place (doc_id, version, line_no), the place of
     the earliest line it repeats (kept_doc_id, kept_line_no) and the edits between them."""
     docs = docs.select("doc_id", "text")
@@ -118,28 +179,26 @@ def dropped_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
     eighths = texts.select("place", "h1", F.explode(eighth_keys(F.col("line"), F.col("n"))).alias("e")).select("place", "h1", "e.*")
     varied = durable(variants(shared(eighths)).distinct())
-    groups = varied.groupBy("variant").agg(
-        F.min(F.when(F.col("role") != 1, F.col("place"))).alias("anchor"), F.min(F.when(F.col("role") == 1, F.col("place"))).alias("longer"),
-        F.min("place").alias("low"), F.max("place").alias("high"),
-    ).where("low <> high").select("variant", "anchor", "longer")
-    earlier = F.when(F.col("role") == 0, F.col("longer")).otherwise(F.col("anchor"))
-    pairs = varied.join(groups, "variant").select("place", earlier.alias("kept")).where("kept < place").distinct()
+    pairs = candidates(varied)
     read = texts.select("place", "h1", "h2", "line")
     pairs = pairs.join(read, "place").join(read.select(F.col("place").alias("kept"), F.col("line").alias("other")), "kept")
-    near = pairs.where(F.levenshtein("line", "other", 1).between(0, 1)).groupBy(*_LINE).agg(F.min("kept").alias("near"))
+    near = pairs.where(F.levenshtein("line", "other", 1).between(0, 1)).select(*_LINE, F.struct("kept", F.lit(1).alias("edits")).alias("near"))
+    if share:
+        near = near.unionByName(near_by_word(found, firsts, least, share))
+    near = near.groupBy(*_LINE).agg(F.min("near").alias("near")).select(*_LINE, "near.kept", "near.edits").withColumnRenamed("kept", "near")
 
     all_lines = places.select(*_PLACE, *_LINE).join(firsts, _LINE).join(near, _LINE, "left")
     kept = F.coalesce("near", "place")
     return all_lines.where(F.col("near").isNotNull() | (F.struct(*_PLACE) != F.col("place"))).select(
-        *_PLACE, kept["doc_id"].alias("kept_doc_id"), kept["line_no"].alias("kept_line_no"), F.when(F.col("near").isNull(), 0).otherwise(1).alias("edits"),
+        *_PLACE, kept["doc_id"].alias("kept_doc_id"), kept["line_no"].alias("kept_line_no"), F.coalesce("edits", F.lit(0)).alias("edits"),
     )
 
 
-def dedup(docs: DataFrame, least: int = LEAST) -> DataFrame:
+def dedup(docs: DataFrame, least: int = LEAST, share: float = 0.0) -> DataFrame:
     """``docs`` (doc_id, text and any other columns) without the lines that go. A
     document that had words and loses every line with one goes too; ``n_chars`` is
     brought up to date where it exists."""
-    gone = dropped_lines(docs, least).groupBy("doc_id", "version").agg(F.collect_set("line_no").alias("_gone")).toDF("_id", "_version", "_gone")
+    gone = dropped_lines(docs, least, share).groupBy("doc_id", "version").agg(F.collect_set("line_no").alias("_gone")).toDF("_id", "_version", "_gone")
     # the row travels without its text, which the lines hold
     row = F.struct(*[F.lit(None).cast("string").alias(c) if c == "text" else F.col(c) for c in docs.columns])
     rows = docs.select(row.alias("_row"), F.split("text", "\n", -1).alias("_lines"), F.xxhash64("text").alias("_hash"))

@@ -91,3 +91,49 @@ def test_empty_and_native(spark):
     assert gone.collect() == [] and line_dedup.dedup(table(spark, [])).collect() == []
     plan = line_dedup.dedup(table(spark, [(1, "a")])).select(F.col("text"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def one_word(a, b):
+    a, b = sorted((a.split(" "), b.split(" ")), key=len)
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_one_word_apart(spark):
+    draw, share = random.Random(3), 1 / 16
+    words = ["in", "to", "the", "thouen", "a", "reading", "of", "é"]
+    lines = [" ".join(draw.choices(words, k=draw.choice([6, 7, 20, 41, 60]))) for _ in range(12)]
+    for x in lines[:]:
+        for n in (0, 1, 1):
+            own = x.split(" ")
+            i = draw.randrange(len(own))
+            own[i:i + n] = draw.choices(words, k=draw.randrange(2))
+            lines.append(" ".join(own))
+    draw.shuffle(lines)
+    first, expected = {}, {}
+    for i, x in enumerate(lines):
+        first.setdefault(x, i)
+    for i, x in enumerate(lines):
+        near = []
+        for y, p in first.items():
+            if p < first[x] and min(len(x), len(y)) >= line_dedup.LEAST:
+                edits = distance(x, y)
+                if edits <= 1 or (one_word(x, y) and edits <= max(2, int(len(x) * share))):
+                    near.append((p, edits))
+        if near:
+            expected[i] = min(near)
+        elif first[x] != i:
+            expected[i] = first[x], 0
+    gone = line_dedup.dropped_lines(table(spark, list(enumerate(lines))), share=share).collect()
+    assert {r.doc_id: (r.kept_doc_id, r.edits) for r in gone} == expected
+    assert sum(e > 1 for _, e in expected.values()) > 5
