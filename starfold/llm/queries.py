@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starfold.llm import bpe, chat, katz, line_dedup, minhash, mixing, quality_rules, site_quality, topk, warc
+from starfold.llm import bpe, chat, conversation_repair, katz, line_dedup, minhash, mixing, quality_rules, site_quality, topk, warc
 from starfold.session import shared_folder
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -93,14 +93,88 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(docs, docs.where("doc_id % 100 = 0"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = conversation_repair.repair(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
+    return conversation_repair.digests(*found).drop("rows")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup, "op2_quality_classifier": op2_quality_classifier, "op3_chat_formatting": op3_chat_formatting, "op4_warc": op4_warc,
     "op5_quality_rules": op5_quality_rules, "op6_katz": op6_katz, "op7_minhash": op7_minhash, "op8_bpe": op8_bpe, "op9_mixing": op9_mixing, "op10_topk": op10_topk,
+    "op11_conversation_repair": op11_conversation_repair,
 }
 
 _ESCAPE = r"""regexp_replace({0}, '([<\[])(\\*)(/?s>|/?INST\]|</?SYS>>)', '\1\\\2\3', 'g')"""
 
+# One row's edits as structs of cost, letters and repaired lines, per state of the order.
+_EDIT = "{{'c': {0}.c + {1}, 'a': {0}.a || '{2}', 't': {0}.t{3}}}"
+_INSERTED = {
+    "x2": "list_sort([s2, {}, {}, {}])[1]".format(*(_EDIT.format(s, 2, "I", " || chr(10) || 'user:'") for s in ("s0", "s1", "s3"))),
+    "x3": "list_sort([s3, {}])[1]".format(_EDIT.format("x2", 2, "I", " || chr(10) || 'assistant:'")),
+}
+
+
+def _edits(state: str, sources: str, initial: str, name: str) -> str:
+    """All ways of taking a row that end in ``state``."""
+    ways = [_EDIT.format(state, 3, "D", "")]
+    for x in sources.split():
+        free = f"(case when fault in ('blank', 'duplicate') {{}} then 1000000 else 0 end) + (fault = 'truncated')::int"
+        ways.append(_EDIT.format(x, free.format(f"or role[1] <> '{initial}'"), "K", " || chr(10) || role || ':' || text"))
+        if name:
+            ways.append(_EDIT.format(x, "2 + " + free.format(""), "R", f" || chr(10) || '{name}:' || text"))
+    return f"list_sort([{', '.join(ways)}])[1]"
+
+
 SQL: dict[str, str] = {
+    "op11_conversation_repair": f"""
+with recursive bits as (
+    select i, i::bigint as v, 0 as k from range(256) t(i)
+    union all select i, case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end, k + 1 from bits where k < 8),
+crcs as (select list(v order by i) as crc from bits where k = 8),
+named as (
+    select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+        coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as name from conversations),
+summed as (
+    select named.*, xor(list_reduce(
+        list_prepend(4294967295, list_transform(string_split(name, ''), lambda x: ascii(x)::bigint)),
+        lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) % 20 as kind
+    from named, crcs),
+copied as (
+    select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+        case when kind <= 1 then '' when kind = 2 then translate(text, '.!?', '') else text end as text,
+        unnest(range(case kind when 0 then 0 when 3 then 2 else 1 end)) as copy
+    from summed),
+placed as (
+    select *, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as trimmed,
+        row_number() over (partition by conv_id order by turn nulls first, role, sha256(length(role) || ':' || role || text), copy) as i
+    from copied),
+rows as (
+    select conv_id, turn, role, text, i,
+        case when trimmed = '' then 'blank' when row_number() over (partition by conv_id, role, text order by i) > 1 then 'duplicate'
+            when right(trimmed, 1) not in ('.', '!', '?') then 'truncated' else '' end as fault,
+        left(lag(role) over (partition by conv_id order by i), 1) || left(role, 1) not in ('su', 'ua', 'au') as illegal
+    from placed),
+walk as (
+    select distinct conv_id, 0::bigint as i, {{'c': 0, 'a': '', 't': ''}} as s0, {{'c': 1000000, 'a': '', 't': ''}} as s1,
+        {{'c': 1000000, 'a': '', 't': ''}} as s2, {{'c': 1000000, 'a': '', 't': ''}} as s3 from conversations
+    union all
+    select conv_id, i, {_edits('s0', '', '', '')}, {_edits('s1', 's0', 's', '')}, {_edits('x2', 's0 s1 x3', 'u', 'user')}, {_edits('x3', 'x2', 'a', 'assistant')}
+    from (
+        select *, {_INSERTED['x3']} as x3
+        from (
+            select walk.conv_id, walk.i + 1 as i, s0, s1, s2, s3, {_INSERTED['x2']} as x2, role, text, fault
+            from walk join rows on rows.conv_id is not distinct from walk.conv_id and rows.i = walk.i + 1))),
+ends as (
+    select conv_id, list_sort([s0, {_INSERTED['x3']}])[1] as best
+    from (select *, {_INSERTED['x2']} as x2 from walk)
+    qualify row_number() over (partition by conv_id order by i desc) = 1),
+counts as (
+    select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 'blank') as blank,
+        count(*) filter (fault = 'duplicate') as duplicate, count(*) filter (fault = 'truncated') as truncated, count(*) filter (illegal) as illegal
+    from rows group by conv_id)
+select ends.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+    coalesce(illegal, 0) as illegal, best.c::bigint as cost, best.a as audit, sha256(substr(best.t, 2)) as repaired_sha256
+from ends left join counts on counts.conv_id is not distinct from ends.conv_id""",
     "op1_line_dedup": """
 with split as (select doc_id, string_split(text, chr(10)) as lines from documents where doc_id is not null),
 numbered as (select doc_id, lines, unnest(range(1, len(lines) + 1)) as i from split),
