@@ -13,10 +13,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starfold.llm import bpe, chat, conversation_repair, katz, line_dedup, minhash, mixing, quality_rules, site_quality, topk, warc
+from starfold.llm import bpe, chat, conversation_repair, katz, line_dedup, minhash, mixing, quality_rules, site_quality, token_stream, topk, warc
 from starfold.session import shared_folder
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -98,10 +99,16 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.digests(*found).drop("rows")
 
 
+def op13_token_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_folder(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
+    token_stream.write(table(spark, sf_dir, "documents"), folder, TOKENIZER)
+    return token_stream.digests(token_stream.read(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup, "op2_quality_classifier": op2_quality_classifier, "op3_chat_formatting": op3_chat_formatting, "op4_warc": op4_warc,
     "op5_quality_rules": op5_quality_rules, "op6_katz": op6_katz, "op7_minhash": op7_minhash, "op8_bpe": op8_bpe, "op9_mixing": op9_mixing, "op10_topk": op10_topk,
-    "op11_conversation_repair": op11_conversation_repair,
+    "op11_conversation_repair": op11_conversation_repair, "op13_token_stream": op13_token_stream,
 }
 
 _ESCAPE = r"""regexp_replace({0}, '([<\[])(\\*)(/?s>|/?INST\]|</?SYS>>)', '\1\\\2\3', 'g')"""
