@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starfold.llm import bpe, chat, conversation_repair, katz, line_dedup, minhash, mixing, quality_rules, site_quality, token_stream, topk, warc
+from starfold.llm import bpe, chat, collocations, conversation_repair, katz, line_dedup, minhash, mixing, quality_rules, site_quality, token_stream, topk, warc
 from starfold.session import shared_folder
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -99,6 +99,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.digests(*found).drop("rows")
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 def op13_token_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_folder(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
     token_stream.write(table(spark, sf_dir, "documents"), folder, TOKENIZER)
@@ -108,7 +112,7 @@ def op13_token_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup, "op2_quality_classifier": op2_quality_classifier, "op3_chat_formatting": op3_chat_formatting, "op4_warc": op4_warc,
     "op5_quality_rules": op5_quality_rules, "op6_katz": op6_katz, "op7_minhash": op7_minhash, "op8_bpe": op8_bpe, "op9_mixing": op9_mixing, "op10_topk": op10_topk,
-    "op11_conversation_repair": op11_conversation_repair, "op13_token_stream": op13_token_stream,
+    "op11_conversation_repair": op11_conversation_repair, "op12_collocations": op12_collocations, "op13_token_stream": op13_token_stream,
 }
 
 _ESCAPE = r"""regexp_replace({0}, '([<\[])(\\*)(/?s>|/?INST\]|</?SYS>>)', '\1\\\2\3', 'g')"""
@@ -133,6 +137,31 @@ def _edits(state: str, sources: str, initial: str, name: str) -> str:
 
 
 SQL: dict[str, str] = {
+    "op12_collocations": r"""
+with lowered as (
+    select coalesce(lang, 'und') as lang, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from documents),
+pieces as (select lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) as piece from lowered),
+worded as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as ws from pieces),
+places as (select lang, ws, unnest(range(1, len(ws) + 1)) as i from worded),
+grams as (
+    select lang, unnest([ws[i:i], ws[i:i + 1], ws[i:i + 2]]) as gram, unnest([1, 2, 3]) as size from places),
+counts as (select lang, gram, size, count(*) as f from grams where len(gram) = size group by all),
+frequent as (select * from counts where f >= 10),
+cuts as (
+    select c.lang, c.gram, c.size, c.f as a, k, x.f as l, y.f as r, (1000000::hugeint * c.f * c.f) // (x.f::hugeint * y.f) as score
+    from (select *, unnest(range(1, size)) as k from frequent) c
+    join frequent x on x.lang = c.lang and x.gram = c.gram[1:k]
+    join frequent y on y.lang = c.lang and y.gram = c.gram[k + 1:]),
+lowest as (select * from cuts qualify row_number() over (partition by lang, gram order by score, k) = 1),
+longer as (
+    select lang, gram[1:2] as gram, f from frequent where size = 3 union all select lang, gram[2:3], f from frequent where size = 3),
+highest as (select lang, gram, max(f) as f from longer group by all),
+standing as (
+    select lowest.*, array_to_string(gram, ' ') as phrase from lowest left join highest using (lang, gram)
+    where highest.f is null or 100 * highest.f < 50 * a),
+totals as (select lang, sum(len(ws))::bigint as n from worded group by lang)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score::bigint as score
+from standing join totals using (lang) qualify rank <= 2000""",
     "op11_conversation_repair": f"""
 with recursive bits as (
     select i, i::bigint as v, 0 as k from range(256) t(i)
