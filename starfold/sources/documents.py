@@ -3,17 +3,24 @@
 Scalars are read as text, so a number where text was expected (or the reverse)
 never spoils a document; the operators cast.  Elements that may be an object or
 an id, and objects compared as a whole, stay JSON text.
+
+A document is read in two steps.  Reading by its shape, in one go, does for all
+documents that have it.  Those with a field of another type (``[]`` for an empty
+object, ``false`` or ``{}`` for a text) are read again value by value: a field of
+another type is absent there, at any depth, and everything else is kept.  Only a
+line that is no JSON object is malformed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as X
+from ..functions.arrays import let
 
 TEXT = T.StringType()
 TEXTS = T.ArrayType(TEXT)
@@ -146,6 +153,45 @@ DOCUMENTS: dict[str, T.StructType] = {
 }
 
 _BAD = "_malformed"
+# Fields that are compared or read as JSON text; lists of texts keep objects that way too.
+_AS_JSON = {"primary_location", "best_oa_location", "last_known_institution", "last_known_institutions"}
+# What a field of another type looks like once it is text.
+_NOT_TEXT = ("[]", "{}", "true", "false")
+
+
+def _texts(c: Column, shape: T.StructType, listed: bool = False) -> Iterator[Column]:
+    """The texts of a document, as lists where they stand in lists."""
+    for f in shape:
+        inner = c[f.name]
+        if isinstance(f.dataType, T.StructType):
+            yield from _texts(inner, f.dataType, listed)
+        elif isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType):
+            yield from _texts(F.flatten(inner) if listed else inner, f.dataType.elementType, True)
+        elif isinstance(f.dataType, T.StringType) and f.name not in _AS_JSON:
+            yield inner if listed else F.array(inner)
+
+
+def _value(v: Column, kind: T.DataType, path: str, as_json: bool = False) -> Column:
+    """A variant, found at ``path`` of the line, read as ``kind``; null where it is something else."""
+    if isinstance(kind, T.VariantType):
+        return v
+    if isinstance(kind, T.StructType):
+        inside = [
+            _value(F.try_variant_get(v, f"$.{f.name}", "variant"), f.dataType, f"{path}.{f.name}", f.name in _AS_JSON).alias(f.name) for f in kind
+        ]
+        return F.when(F.to_json(v).startswith("{"), F.struct(*inside))
+    if isinstance(kind, T.ArrayType):
+        # Elements of a list of texts may be objects, which stay JSON text.
+        return F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda e: _value(e, kind.elementType, path, True))
+    if isinstance(kind, T.MapType):
+        # A variant sorts its keys; the order of a map's entries counts, so they come from the line.
+        raw = F.get_json_object("value", path)
+        entries = F.when(raw.startswith("{"), F.from_json(raw, "map<string,variant>"))
+        return F.transform_values(entries, lambda _, e: _value(e, kind.valueType, path))
+    if not isinstance(kind, T.StringType):
+        return F.try_variant_get(v, "$", kind.simpleString())
+    text = F.try_variant_get(v, "$", "string")
+    return let(F.to_json(v), lambda j: F.when(j.rlike("^[{\\[]"), j if as_json else None).when(~j.isin("true", "false"), text))
 
 
 def _parse(lines: DataFrame, entity: str, good: bool) -> DataFrame:
@@ -155,16 +201,25 @@ def _parse(lines: DataFrame, entity: str, good: bool) -> DataFrame:
     all.  Written as a filter, Spark would push the test below the projection
     and parse each line once per use.
     """
-    # Always the whole shape: whether a line is malformed must not depend on what is read.
-    shape = T.StructType([*DOCUMENTS[entity], T.StructField(_BAD, TEXT)])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
-
-    def well_formed(doc: Column) -> Column:
+    # Always the whole shape: what a document holds must not depend on what is read.
+    shape = DOCUMENTS[entity]
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD, "allowSingleQuotes": "false"}
+    read = F.from_json("value", T.StructType([*shape, T.StructField(_BAD, TEXT)]), options)
+
+    def has_shape(doc: Column) -> Column:
+        lists = F.array(*_texts(doc, shape))
+        other = F.exists(lists, lambda texts: F.coalesce(F.exists(texts, lambda t: F.coalesce(t.isin(*_NOT_TEXT), F.lit(False))), F.lit(False)))
         # An empty line parses to a null document without any malformed text.
-        return doc.isNotNull() & doc[_BAD].isNull()
+        return doc.isNotNull() & doc[_BAD].isNull() & F.ltrim("value").startswith("{") & ~other
+
+    def by_value(parsed: Column) -> Column:
+        return let(parsed, lambda v: _value(v, shape, "$"))
+
+    def plain(doc: Column) -> Column:
+        return F.struct(*[doc[f.name].alias(f.name) for f in shape])
 
-    parsed = F.array(F.from_json("value", shape, options))
-    kept = F.filter(parsed, well_formed if good else lambda doc: ~well_formed(doc))
+    either = let(read, lambda doc: F.when(has_shape(doc), plain(doc)).otherwise(by_value(F.try_parse_json("value"))))
+    kept = F.filter(F.array(either), lambda doc: doc.isNotNull() if good else doc.isNull())
     return lines.select("*", F.explode(kept).alias("doc"))
 
 
@@ -189,5 +244,5 @@ def documents(lines: DataFrame, entity: str, fields: Iterable[str] | None = None
 
 
 def malformed(lines: DataFrame, entity: str) -> DataFrame:
-    """C4: the lines that are no JSON object of the entity's shape."""
+    """C4: the lines that are no JSON object."""
     return _parse(lines, entity, good=False).drop("doc")

@@ -58,8 +58,38 @@ def test_chosen_entities():
 def test_malformed_lines(spark):
     lines = spark.createDataFrame(
         [(1, '{"id":"W1"'), (2, ""), (3, "[1]"), (4, '{"id":"W4","title":7}'), (5, '{"id":"W5","ids":3}')], "_ord bigint, value string")
-    assert sorted(r["_ord"] for r in malformed(lines, "works").collect()) == [1, 2, 3, 5]
-    assert [r["_id"] for r in documents(lines, "works").collect()] == [4]
+    assert sorted(r["_ord"] for r in malformed(lines, "works").collect()) == [1, 2, 3]
+    assert sorted(r["_id"] for r in documents(lines, "works").collect()) == [4, 5]
+
+
+GOOD = {
+    "id": "W12", "title": "T", "display_name": "D", "biblio": {"volume": "1"}, "ids": {"pmid": 5}, "authorships": [{"author": {"id": "A5"}, "countries": ["x"]}],
+    "open_access": {"oa_status": "gold"}, "primary_location": {"source": {"id": "S1"}}, "locations": [{"source": {"id": "S1"}}, {}],
+    "abstract_inverted_index": {"z": [0], "b": [1], "a": [1]}, "referenced_works": ["W1", "W2"], "apc_list": {"value": 15}, "publication_year": 2020,
+}
+SHAPES = [
+    ("biblio", [], None), ("biblio", False, None), ("ids", "", None), ("authorships", {}, None), ("authorships", 0, None), ("open_access", False, None),
+    ("abstract_inverted_index", [], None), ("abstract_inverted_index", {"z": [0.0], "b": [1.0], "a": [1.0]}, GOOD["abstract_inverted_index"]),
+    ("referenced_works", "", None), ("apc_list", 0, None), ("title", False, None), ("title", [], None), ("title", 7, "7"), ("title", "[]", "[]"), ("title", "false", "false"),
+    ("authorships", [{"author": [], "countries": ""}], [(None, None)]), ("authorships", [{"author": {"id": {}}, "countries": [{"a": 1}]}], [((None, None), ['{"a":1}'])]),
+]
+
+
+@pytest.mark.parametrize("field, value, wanted", SHAPES)
+def test_a_field_of_another_type_is_absent(spark, field, value, wanted):
+    def seen(doc):
+        return {f: doc[f] for f in GOOD if f in doc and f != "id"}
+
+    lines = spark.createDataFrame([(1, json.dumps(GOOD)), (2, json.dumps({**GOOD, field: value}))], "_ord bigint, value string")
+    good, odd = (seen(r.asDict(recursive=True)) for r in documents(lines, "works").orderBy("_ord").collect())
+    assert malformed(lines, "works").count() == 0
+    found = odd.pop(field)
+    if field == "authorships" and wanted:
+        found = [(a["author"] and (a["author"]["id"], a["author"]["display_name"]), a["countries"]) for a in found]
+    assert found == wanted
+    good.pop(field)
+    as_values = {k: json.loads(v) if k == "primary_location" else [json.loads(x) for x in v] if k == "locations" else str(v) for k, v in odd.items()}
+    assert as_values == {k: json.loads(v) if k == "primary_location" else [json.loads(x) for x in v] if k == "locations" else str(v) for k, v in good.items()}
 
 
 def test_merged_ids_in_the_parent_folder(spark, snapshot):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starfold.fixed import ID_URL_PREFIX as URL
@@ -16,6 +16,7 @@ from starfold.operators.checks import column_problems, null_keys, repeated_keys
 from starfold.operators.dense_ids import dense_ids
 from starfold.operators.diff import merge_outputs, table_diff
 from starfold.operators.first_wins import first_wins
+from starfold.plans import works
 from starfold.plans.derived import shortened
 from starfold.plans.job import Options, report_frame, stage, uncatalogued
 from starfold.plans.registry import FEEDS
@@ -612,6 +613,52 @@ def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return malformed(read(spark, sf_dir, "events").select("event_id", value.alias("value")), "works")
 
 
+# Works of which one field in turn has another type than the rest of the snapshot gives it.
+_TWO_AUTHORS = """'[{"author":{"id":"A1"},"countries":["NL"]},{"author":{"id":"A2"},"countries":["NL"]}]'"""
+_ODD = {
+    "biblio": """CASE event_id % 14 WHEN 1 THEN '[]' WHEN 13 THEN 'false' ELSE '{"volume":"' || event_id % 100 || '"}' END""",
+    "ids": """CASE event_id % 14 WHEN 2 THEN '""' ELSE '{"pmid":' || event_id || '}' END""",
+    "authorships": """CASE event_id % 14 WHEN 3 THEN '{}' WHEN 11 THEN '[{"author":[],"countries":""},{"author":0,"countries":{}}]' """
+    f"ELSE {_TWO_AUTHORS} END",
+    "open_access": """CASE event_id % 14 WHEN 4 THEN 'false' ELSE '{"is_oa":' || CASE WHEN event_id % 3 = 0 THEN 'true' ELSE 'false' END || '}' END""",
+    "abstract_inverted_index": """CASE event_id % 14 WHEN 5 THEN '[]' WHEN 6 THEN '{"z":[0.0],"b":[1.0],"a":[1.0]}' ELSE '{"z":[0],"b":[1],"a":[1]}' END""",
+    "referenced_works": """CASE event_id % 14 WHEN 7 THEN '""' ELSE '["W1","W2"]' END""",
+    "apc_list": """CASE event_id % 14 WHEN 8 THEN '0' ELSE '{"value":' || event_id % 1000 || '}' END""",
+    "title": """CASE event_id % 14 WHEN 9 THEN 'false' WHEN 10 THEN '[]' ELSE '"Title ' || event_id || '"' END""",
+    "display_name": """'"Shown ' || event_id || '"'""",
+    "type": """CASE event_id % 14 WHEN 12 THEN '{}' ELSE '"' || event_type || '"' END""",
+}
+
+
+@query(
+    "q_odd_shapes",
+    "SELECT event_id, CASE WHEN event_id % 14 NOT IN (1, 13) THEN CAST(event_id % 100 AS VARCHAR) END AS volume, "
+    "CASE WHEN event_id % 14 <> 2 THEN event_id END AS pmid, CASE WHEN event_id % 14 <> 4 THEN CAST(event_id % 3 = 0 AS BIGINT) END AS is_oa, "
+    f"{BIG('CASE WHEN event_id % 14 = 3 THEN 0 ELSE 2 END')} AS n_authors, "
+    f"{BIG('CASE WHEN event_id % 14 IN (3, 11) THEN 0 ELSE 2 END')} AS n_known, {BIG('CASE WHEN event_id % 14 IN (3, 11) THEN 0 ELSE 2 END')} AS n_countries, "
+    "CASE WHEN event_id % 14 <> 5 THEN 'z a' END AS abstract, "
+    f"{BIG('CASE WHEN event_id % 14 = 7 THEN 0 ELSE 2 END')} AS n_refs, CASE WHEN event_id % 14 <> 8 THEN event_id % 1000 END AS price, "
+    "CASE WHEN event_id % 14 IN (9, 10) THEN 'Shown ' ELSE 'Title ' END || event_id AS title, "
+    "CASE WHEN event_id % 14 = 12 THEN 'other' ELSE replace(event_type, '_', '-') END AS type FROM events",
+)
+def odd_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C4: a field of another type is absent and costs its document nothing else."""
+    pairs = " || ',' || ".join(f"""'"{name}":' || {value}""" for name, value in _ODD.items())
+    value = F.expr(f"""'{{"id":"W' || event_id || '",' || {pairs} || '}}'""")
+    rows = documents(read(spark, sf_dir, "events").select("event_id", value.alias("value")), "works")
+
+    def count(array: Column) -> Column:
+        return F.coalesce(F.size(array).cast("bigint"), F.lit(0).cast("bigint"))
+
+    return rows.select(
+        "event_id", C("biblio.volume").alias("volume"), X.longest_number(C("ids.pmid")).alias("pmid"),
+        X.flag_of_json(C("open_access.is_oa")).cast("bigint").alias("is_oa"), count(C("authorships")).alias("n_authors"),
+        count(A.not_null(C("authorships.author.id"))).alias("n_known"), count(F.flatten(A.not_null(C("authorships.countries")))).alias("n_countries"),
+        A.text_from_positions(C("abstract_inverted_index")).alias("abstract"), count(C("referenced_works")).alias("n_refs"),
+        X.whole_of_json(C("apc_list.value")).alias("price"), works.title().alias("title"), works.work_type().alias("type"),
+    )
+
+
 @query("q_conform", "SELECT o_orderkey, CAST(NULL AS BIGINT) AS o_rank, CAST(trunc(o_totalprice) AS BIGINT) AS o_totalprice, o_orderstatus FROM orders")
 def conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2: declared order, missing columns null, unknown ones gone."""
