@@ -4,11 +4,11 @@ document per line (S1-S6, S10)."""
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from ..fixed import ENTITIES
@@ -70,49 +70,83 @@ def scan(
         .schema("value string, updated_date string")
     )
     # The file listing is metadata the driver holds already to plan the scan.
-    files = sorted(reader.text(parts).inputFiles(), key=_scan_key) if parts else []
-    if max_files:
-        files = files[:max_files]
+    every = sorted(reader.text(parts).inputFiles(), key=_scan_key) if parts else []
+    files, cut = every[:max_files] if max_files else every, None
+    if max_records and max_records > 0:
+        files, cut = _first_files(reader, files, max_records)
     if not files:
         return nothing
-    lines = reader.text(files if max_files else parts)
-    ranks = spark.createDataFrame(
-        [(_one_slash(path), i) for i, path in enumerate(files)], "_path string, _file bigint"
+    whole = files if cut is None else files[:-1]
+    runs = list(_runs(whole, known_small(spark)))
+    one = len(runs) == 1 and len(whole) == len(every)
+    reads = [_numbered(reader, run, first, parts if one else None) for first, run in runs]
+    if cut is not None:  # read alone, the lines of the last file count from 0
+        last = _numbered(reader, files[-1:], len(files) - 1)
+        reads.append(last.where(F.col("_row") < cut))
+    ordered = reduce(DataFrame.unionByName, reads).select(
+        "value", "_partition", (F.shiftleft("_file", _ROW_BITS) + F.col("_row")).alias("_ord")
+    )
+    # A gzip file is one task; few big files are shared out before the costly
+    # parsing, while many files stay where they are and no text is moved.
+    cores = spark.sparkContext.defaultParallelism
+    return ordered.repartition(2 * cores) if cut is not None or len(files) < cores else ordered
+
+
+def _runs(files: list[str], most: int) -> Iterator[tuple[int, list[str]]]:
+    """Neighbouring files whose paths take ``most`` bytes, one file at least, and the rank
+    of the first: the table of their ranks is always small enough to broadcast, so that no
+    text is moved to learn its rank, however many files there are."""
+    first, size = 0, 0
+    for i, path in enumerate(files):
+        if i > first and size + len(path) > most:
+            yield first, files[first:i]
+            first, size = i, 0
+        size += len(path)
+    if files:
+        yield first, files[first:]
+
+
+def _numbered(reader: DataFrameReader, files: list[str], first: int, folders: list[str] | None = None) -> DataFrame:
+    """Lines of ``files`` (all there is in ``folders``, when given) with their file's rank,
+    counted from ``first``, and a row number that grows inside a file."""
+    lines = reader.text(folders or [unquote(path) for path in files])
+    ranks = lines.sparkSession.createDataFrame(
+        [(_one_slash(path), first + i) for i, path in enumerate(files)], "_path string, _file bigint"
     )
-    if sum(map(len, files)) <= known_small(spark):
-        ranks = F.broadcast(ranks)
-
     numbered = lines.select(
         "value",
         F.col("updated_date").alias("_partition"),
-        F.regexp_replace("_metadata.file_path", _SCHEME, "$1:/").alias("_path"),
+        _path().alias("_path"),
         F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias("_row"),
     )
-    ordered = numbered.join(ranks, "_path").select(
-        "value", "_partition", (F.shiftleft("_file", _ROW_BITS) + F.col("_row")).alias("_ord")
-    )
-    capped = bool(max_records and max_records > 0)
-    if capped:
-        ordered = ordered.where(F.col("_ord") < _cut(ordered, max_records))
-    # A gzip file is one task; few big files are shared out before the costly
-    # parsing, while many files stay where they are and no text is moved.
-    cores = spark.sparkContext.defaultParallelism
-    return ordered.repartition(2 * cores) if capped or len(files) < cores else ordered
+    return numbered.join(F.broadcast(ranks), "_path").drop("_path")
+
+
+def _path() -> Column:
+    return F.regexp_replace("_metadata.file_path", _SCHEME, "$1:/")
 
 
-def _cut(ordered: DataFrame, records: int) -> int:
-    """The place before which the first ``records`` lines stand.
+def _first_files(reader: DataFrameReader, files: list[str], records: int) -> tuple[list[str], int | None]:
+    """The files that hold the first ``records`` lines, and how many lines of the last
+    one count (None when all lines of all files do).
 
-    Lines of a file have places without gaps, so a count and the first place per
-    file, which are metadata, tell where the cap falls; no line leaves its task.
+    Lines are counted file by file in scan order, in batches that double, so that a small
+    cap opens few files and none behind the cap but those of its batch.  One number per
+    file comes back.
     """
-    per_file = ordered.groupBy(F.shiftright("_ord", _ROW_BITS)).agg(F.min("_ord").alias("first"), F.count(F.lit(1)).alias("n"))
-    left = records
-    for r in sorted(per_file.collect(), key=lambda r: r["first"]):
-        if left <= r["n"]:
-            return r["first"] + left
-        left -= r["n"]
-    return 1 << 62
+    taken, left, size = 0, records, 1
+    while taken < len(files):
+        batch = files[taken:taken + size]
+        counts = reader.text([unquote(path) for path in batch]).groupBy(_path().alias("path")).agg(F.count(F.lit(1)).alias("n"))
+        lines = {r["path"]: r["n"] for r in counts.collect()}
+        for path in batch:
+            taken += 1
+            n = lines.get(_one_slash(path), 0)
+            if n >= left:
+                return files[:taken], left
+            left -= n
+        size *= 2
+    return files, None
 
 
 def merged_ids(spark: SparkSession, root: str, entity: str) -> DataFrame | None:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from starfold.operators.diff import MergeConflict, merge_outputs, table_diff
 from starfold.plans.job import EntityReport, Options, report_frame, run
 from starfold.sinks.delimited import write_delimited
+from starfold.sources import snapshot as snapshot_source
 from starfold.sources.documents import documents, malformed
 from starfold.sources.snapshot import chosen_entities, merged_ids, scan
 
@@ -50,6 +51,43 @@ def test_scan_order_and_restrictions(spark, snapshot):
     assert scan(spark, root, "authors").count() == 0
 
 
+@pytest.mark.parametrize("records", range(1, 8))
+def test_a_cap_opens_no_file_behind_its_batch(spark, snapshot, records):
+    for day in range(2, 9):  # files that cannot be read: opening one fails
+        folder = snapshot / "works" / f"updated_date=2024-03-0{day}"
+        folder.mkdir()
+        (folder / "part_000.gz").write_bytes(b"no gzip")
+    if records <= 6:
+        assert in_order(scan(spark, str(snapshot), "works", max_records=records)) == list(range(1, records + 1))
+    else:
+        with pytest.raises(Exception, match="(?i)eof|gzip|end of input"):
+            scan(spark, str(snapshot), "works", max_records=records)
+
+
+def test_batches_double(spark, tmp_path, monkeypatch):
+    for i in range(9):
+        put(tmp_path, "works", "2024-01-01", f"part_{i}.gz", record(2 * i + 1), record(2 * i + 2))
+    opened = []
+    real = snapshot_source.DataFrameReader.text
+    monkeypatch.setattr(snapshot_source.DataFrameReader, "text", lambda self, paths, **more: opened.append(len(paths)) or real(self, paths, **more))
+    assert in_order(scan(spark, str(tmp_path), "works", max_records=9)) == list(range(1, 10))
+    # The listing; batches of 1, 2 and 4 files; then the four whole files, and the fifth alone.
+    assert opened == [1, 1, 2, 4, 4, 1]
+
+
+def test_the_scan_moves_no_text_to_rank_it(spark, tmp_path):
+    for i in range(20):
+        put(tmp_path, "works", f"2024-01-{i // 3 + 1:02}", f"part {i:03}%.gz", record(2 * i + 1), record(2 * i + 2))
+    spark.conf.set("starfold.broadcastBytes", "0")
+    try:
+        lines = scan(spark, str(tmp_path), "works")
+        assert in_order(lines) == list(range(1, 41))
+        plan = lines._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.unset("starfold.broadcastBytes")
+
+
 def test_chosen_entities():
     assert chosen_entities(["topics", "works", "topics"]) == ["topics", "works"]
     assert len(chosen_entities(["topics", "all"])) == 11
