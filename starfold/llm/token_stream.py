@@ -17,8 +17,8 @@ marker; the mask is chosen so that the marker does not occur in a record. Spark'
 text writer commits the files, so a lost executor leaves none behind, and its reader may
 cut a file at any byte: every task decodes the records that begin in its share.
 
-Two passes over the texts are made: one counts ids for the table (a vocabulary's worth of
-counts per task), one sorts, encodes and writes.
+Texts are encoded once, to compressed ids in the shared folder. One pass over those counts
+ids for the table (a vocabulary's worth of counts per task), one sorts, codes and writes.
 
 Defined cases: a null text is empty and has the end id alone; a null id sorts first; rows
 that repeat an id are ordered by a hash of their text (equal rows are interchangeable) and
@@ -36,12 +36,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starfold.llm.rans import Coder, frequencies
-from starfold.llm.word_ids import WordIds
+from starfold.llm.word_ids import word_ids
 from starfold.session import durable
 
 MARKER = "\x01token-block\x02\x03"
@@ -50,23 +51,60 @@ _BODY = struct.Struct("<IIIIHH")
 _PART = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("before", "<i8"), ("count", "<u4"), ("ends", "u1")])
 
 
-def histogram(docs: DataFrame, tokenizer: str, end: int) -> np.ndarray:
-    """How often each id occurs in all texts; as long as the vocabulary."""
+_TOKENS = "doc_id long, hash long, row long, part int, ends boolean, ids binary"
+
+
+def tokens(docs: DataFrame, tokenizer: str, end: int, row_tokens: int = 1 << 20) -> DataFrame:
+    """Compressed ids of ``docs`` (doc_id, text), a row for every ``row_tokens`` or so of a document."""
+    schema = pa.schema([("doc_id", pa.int64()), ("hash", pa.int64()), ("row", pa.int64()), ("part", pa.int32()), ("ends", pa.bool_()), ("ids", pa.binary())])
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, out, size, closing = word_ids(tokenizer), [], 0, np.array([end], "<u4").tobytes()
+        press = zstandard.ZstdCompressor(level=3).compress
+
+        def put(doc: int | None, hashed: int | None, row: int, part: int, ends: bool, ids: bytes) -> None:
+            nonlocal size
+            values = np.frombuffer(ids, "<u4")
+            wide = len(values) and int(values.max()) >> 16
+            out.append({"doc_id": doc, "hash": hashed, "row": row, "part": part, "ends": ends, "ids": b"\x04" + press(ids) if wide else b"\x02" + press(values.astype("<u2").tobytes())})
+            size += len(out[-1]["ids"])
+
+        for batch in batches:
+            for doc, text, hashed, row in zip(*[batch.column(i).to_pylist() for i in range(4)], strict=True):
+                ids, part = bytearray(), 0
+                for some in words.encoded(text or ""):
+                    ids += some
+                    if len(ids) >= 4 * row_tokens:
+                        put(doc, hashed, row, part, False, bytes(ids))
+                        ids, part = bytearray(), part + 1
+                put(doc, hashed, row, part, True, bytes(ids) + closing)
+                if size > 8 << 20:
+                    yield pa.RecordBatch.from_pylist(out, schema)
+                    out, size = [], 0
+        yield pa.RecordBatch.from_pylist(out, schema)
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("row"))
+    return rows.mapInArrow(encode, _TOKENS)
+
+
+def _plain(raw: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(raw[1:]), f"<u{raw[0]}")
+
+
+def histogram(encoded: DataFrame) -> np.ndarray:
+    """How often each id occurs; as long as the vocabulary."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, total = WordIds(tokenizer), np.zeros(end + 1, np.int64)
+        total = np.zeros(1, np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                total[end] += 1
-                for ids in words.encoded(text or ""):
-                    found = np.bincount(np.frombuffer(ids, "<u4"))
-                    if len(found) > len(total):
-                        total = np.pad(total, (0, len(found) - len(total)))
-                    total[:len(found)] += found
+            for raw in batch.column(0):
+                found = np.bincount(_plain(raw.as_py()))
+                total = np.pad(total, (0, max(0, len(found) - len(total))))
+                total[:len(found)] += found
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], names=["id", "n"])
 
-    rows = docs.select("text").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    rows = encoded.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max((r["id"] for r in rows), default=0) + 1, np.int64)
     for r in rows:  # one row per id of the vocabulary
         counts[r["id"]] = r["n"]
@@ -113,12 +151,13 @@ def opened(raw: bytes, coder: Coder, table: int) -> tuple[int, int, np.ndarray,
 def write(docs: DataFrame, folder: str, tokenizer: str, *, end: int = 1, block_tokens: int = 1 << 18, lanes: int = 512, every: int = 128) -> None:
     """Write the ids of ``docs`` (doc_id, text), each followed by ``end``, in the new ``folder``."""
     spark = docs.sparkSession
-    scaled, bits = frequencies(histogram(docs, tokenizer, end))
+    encoded = durable(tokens(docs, tokenizer, end))
+    scaled, bits = frequencies(histogram(encoded))
     table = zlib.crc32(scaled.astype("<u8").tobytes())
     spark.createDataFrame([(bits, table, scaled.astype("<u8").tobytes())], "bits int, checksum long, frequencies binary").coalesce(1).write.parquet(f"{folder}/tables")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, coder, piece, closing = WordIds(tokenizer), Coder(scaled, bits, lanes, every), TaskContext.get().partitionId(), np.array([end], "<u4").tobytes()
+        coder, piece = Coder(scaled, bits, lanes, every), TaskContext.get().partitionId()
         ids, parts, start = bytearray(), [], 0
 
         def add(doc: int | None, before: int, count: int, ends: bool) -> None:
@@ -143,24 +182,19 @@ def write(docs: DataFrame, folder: str, tokenizer: str, *, end: int = 1, block_t
                 yield pa.RecordBatch.from_arrays([pa.array([raw], pa.binary())], names=["value"])
                 ids, parts, start = ids[4 * n:], left, start + n
 
+        before = 0
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                before = 0
-                for some in words.encoded(text or ""):
-                    if some:
-                        ids += some
-                        add(doc, before, len(some) // 4, False)
-                        before += len(some) // 4
-                        yield from full(block_tokens)
-                ids += closing
-                add(doc, before, 1, True)
+            for doc, ends, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                some = _plain(raw.as_py()).astype("<u4").tobytes()
+                ids += some
+                add(doc, before, len(some) // 4, ends)
+                before = 0 if ends else before + len(some) // 4
                 yield from full(block_tokens)
         yield from full(0)
 
     order = ["doc_id", "hash", "row"]
     pieces = max(spark.sparkContext.defaultParallelism, docs.rdd.getNumPartitions())
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("row"))
-    sorted_rows = rows.repartitionByRange(pieces, *order).sortWithinPartitions(*order).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    sorted_rows = encoded.repartitionByRange(pieces, *order).sortWithinPartitions(*order, "part").select("doc_id", "ends", "ids")
     sorted_rows.mapInArrow(pack, "value binary").select(F.col("value").cast("string")).write.option("lineSep", MARKER).text(f"{folder}/blocks")
 
     sizes = _records(spark, folder).select(_number(1, 4).alias("piece"), _number(13, 4).alias("n")).groupBy("piece").agg(F.sum("n").alias("n"))

@@ -1,9 +1,11 @@
 """Token ids of whole texts by a tokenizer of the tokenizers library, for use inside tasks.
 
-The library merges slowly but treats every stretch between white space on its own, so each
-distinct stretch is given to it once and its ids are remembered. Plain stretches (printable
-ASCII and the letters of Latin-1, which normalisation leaves alone but for case) are cut
-further by the tokenizer's own pattern; all others go to the library as they are.
+The library merges slowly but treats every stretch between white space on its own. Texts
+are cut at blanks; a plain word (printable ASCII and the letters of Latin-1, which
+normalisation leaves alone but for case) is cut further by the tokenizer's own pattern.
+Distinct pieces are given to the library once, many at a time, and words and pieces are
+remembered by the worker process from task to task. Other words go to the library as they
+are.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 
@@ -21,7 +24,7 @@ _PLAIN = re.compile(f"[!-~{_LETTERS}]*")
 _PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+")
 
 
-def slices(text: str, chars: int = 1 << 20) -> Iterator[str]:
+def slices(text: str, chars: int = 1 << 18) -> Iterator[str]:
     """``text`` cut before blanks, so that no more than a slice is split at once."""
     at = 0
     while len(text) - at > chars:
@@ -35,44 +38,80 @@ def slices(text: str, chars: int = 1 << 20) -> Iterator[str]:
     yield text[at:]
 
 
-class WordIds(dict):
-    """Ids of a stretch without blanks, as little-endian 32-bit integers."""
+class Memory:
+    """Values by key in two generations of ``limit``; one in use moves to the younger."""
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, limit: int):
+        self.limit, self.young, self.old = limit, {}, {}
+
+    def __len__(self) -> int:
+        return len(self.young) + len(self.old)
+
+    def add(self, values: dict[str, bytes]) -> None:
+        if len(self.young) + len(values) > self.limit:
+            self.old, self.young = self.young, {}
+        self.young.update(values)
+
+    def split(self, keys: set[str]) -> tuple[dict[str, bytes], list[str]]:
+        """What is known of ``keys``, and those that are not known."""
+        known = {k: v for k in keys if (v := self.young.get(k) or self.old.get(k)) is not None}
+        return known, [k for k in keys if k not in known]
+
+
+class WordIds:
+    """Ids as little-endian 32-bit integers."""
+
+    def __init__(self, path: str, limit: int = 250_000):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit, self.pieces = Tokenizer.from_file(path), limit, {}
+        self.tokenizer, self.words, self.pieces = Tokenizer.from_file(path), Memory(limit), Memory(limit)
         shape = json.loads(self.tokenizer.to_str())
         steps = (shape["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
         forms = [n.get("type") for n in (shape["normalizer"] or {}).get("normalizers", [])]
-        self.by_word = steps[0].get("pattern", {}).get("Regex") == PATTERN and forms == ["NFC", "Replace", "Lowercase"]
         self.added = [a["content"] for a in shape["added_tokens"]]
+        known_form = steps[0].get("pattern", {}).get("Regex") == PATTERN and forms == ["NFC", "Replace", "Lowercase"]
+        self.by_word = known_form and not any(" " in a or "\n" in a for a in self.added)
 
     def library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= self.limit:
-            self.clear()
-        if _PLAIN.fullmatch(word) and not any(a in word for a in self.added):
-            ids = b"".join(map(self.piece, _PIECES.findall(word.lower())))
-        else:
-            ids = self.library(word)
-        self[word] = ids
-        return ids
-
-    def piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            if len(self.pieces) >= self.limit:
-                self.pieces.clear()
-            ids = self.pieces[piece] = self.library(piece)
-        return ids
+    def of_pieces(self, pieces: set[str]) -> dict[str, bytes]:
+        known, asked = self.pieces.split(pieces)
+        for i in range(0, len(asked), 10_000):
+            some = asked[i:i + 10_000]
+            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            # Every piece is one word of the joined text; its tokens stand together.
+            ids, ends = np.array(found.ids, "<u4").tobytes(), (4 * np.cumsum(np.bincount(np.array(found.word_ids, np.int64), minlength=len(some)))).tolist()
+            new = {p: ids[a:b] for p, a, b in zip(some, [0, *ends], ends)}
+            self.pieces.add(new)
+            known.update(new)
+        return known
+
+    def of_words(self, words: set[str]) -> dict[str, bytes]:
+        known, asked = self.words.split(words)
+        cut = {w: _PIECES.findall(w.lower()) for w in asked if _PLAIN.fullmatch(w) and not any(a in w for a in self.added)}
+        pieces = self.of_pieces({p for parts in cut.values() for p in parts})
+        new = {w: b"".join(map(pieces.__getitem__, parts)) for w, parts in cut.items()}
+        new.update((w, self.library(w)) for w in asked if w not in cut)
+        self.words.add(new)
+        known.update(new)
+        return known
 
     def encoded(self, text: str) -> Iterator[bytes]:
         """Ids of ``text``, slice by slice."""
-        if not self.by_word or any(" " in a or "\n" in a for a in self.added):
+        if not self.by_word:
             yield self.library(text)
             return
         for part in slices(text):
-            yield b"".join(map(self.__getitem__, part.replace("\n", " ").split(" ")))
+            words = part.replace("\n", " ").split(" ")
+            found = list(map(self.words.young.get, words))
+            if None in found:
+                new = self.of_words({w for w, ids in zip(words, found) if ids is None})
+                found = [new[w] if ids is None else ids for w, ids in zip(words, found)]
+            yield b"".join(found)
+
+
+@lru_cache(2)
+def word_ids(path: str) -> WordIds:
+    """The worker process's own, whatever task it is at."""
+    return WordIds(path)
