@@ -59,6 +59,34 @@ def first_positions(array: Column) -> Column:
     )
 
 
+# Up to so many elements a list is searched from its start; longer ones are cut by hash.
+_FEW = 64
+
+
+def hash_share(value: Column, shares: Column) -> Column:
+    return F.pmod(F.xxhash64(value), shares).cast("int")
+
+
+def with_places(known: Column, use: Callable[[Callable[[Column], Column]], Column]) -> Column:
+    """``use(place)``, where ``place(x)`` is the place of ``x`` in ``known``, counted from
+    1, or 0.  A long list is cut into about as many pieces as a piece has elements, so a
+    search reads one piece; lists of thousands cost no square of their length."""
+    shares = F.ceil(F.sqrt(F.size(known))).cast("int")
+
+    def cut(entries: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), shares - 1), lambda share: F.filter(entries, lambda e: e["share"] == share))
+
+    placed = F.transform(known, lambda x, i: F.struct(x.alias("x"), (i + 1).cast("bigint").alias("place"), hash_share(x, shares).alias("share")))
+    pieces = F.when(F.size(known) > _FEW, let(placed, cut))
+
+    def place(pieces: Column, x: Column) -> Column:
+        return F.when(pieces.isNull(), F.array_position(known, x)).otherwise(
+            let(x, lambda x: F.coalesce(F.get(F.filter(F.get(pieces, hash_share(x, shares)), lambda e: e["x"] == x), 0)["place"], F.lit(0)))
+        )
+
+    return let(pieces, lambda pieces: use(lambda x: place(pieces, x)))
+
+
 def text_from_positions(index: Column) -> Column:
     """Tokens put back at their positions and joined by spaces.
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from threading import Lock
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,9 +23,14 @@ def _author_ids() -> Column:
     return F.coalesce(ids, F.array().cast("array<bigint>"))
 
 
-def citations(docs: DataFrame) -> DataFrame:
-    """References with the citing year, the years between, and whether both
-    works share an author.
+#: References carry up to so many author ids; those of wider works are looked up per pair.
+WIDE = 64
+
+
+def edges(docs: DataFrame) -> DataFrame:
+    """References with the citing year and the years between; whether both works share
+    an author (J7), or, where the citing work has more than ``WIDE`` authors, the authors
+    of the cited one in ``_theirs`` and the citing document in ``_at``.
 
     Year and author ids of the citing work come from its own document, those of
     the cited work from one join on its id; no pairs of authors are formed.
@@ -31,9 +39,10 @@ def citations(docs: DataFrame) -> DataFrame:
     to come straight from a shuffle: the cited side is written down first.
     """
     year = X.whole_of_json(C("publication_year"))
-    keep = [C("_id").alias("citing_work_id"), year.alias("pub_year"), _author_ids().alias("_citing_authors")]
-    references = numbered(docs, keep, C("referenced_works"), "reference_seq").select(
-        "citing_work_id", "reference_seq", "pub_year", "_citing_authors",
+    narrow = docs.select("_id", "_ord", year.alias("pub_year"), _author_ids().alias("_ids"), "referenced_works")
+    keep = [C("_id").alias("citing_work_id"), C("_ord").alias("_at"), "pub_year", F.when(F.size("_ids") <= WIDE, C("_ids")).alias("_ours")]
+    references = numbered(narrow, keep, C("referenced_works"), "reference_seq").select(
+        "citing_work_id", "reference_seq", "pub_year", "_ours", "_at",
         X.id_number(C("item")).alias("cited_work_id"),
     )
     # Ids are never negative, so negative join keys match nothing.
@@ -46,13 +55,37 @@ def citations(docs: DataFrame) -> DataFrame:
         )
     )
     both = references.join(cited, C("_key") == C("_cited"), "left")
+    wide = C("_other").isNotNull() & C("_ours").isNull()
     return both.select(
         "citing_work_id", "reference_seq", "cited_work_id", "pub_year",
         (C("pub_year") - C("_other.year")).alias("cit_window"),
-        F.when(C("_other").isNotNull(), F.arrays_overlap("_citing_authors", "_other.authors")).alias("is_self_cit"),
+        F.when(C("_other").isNotNull() & ~wide, F.arrays_overlap("_ours", "_other.authors")).alias("is_self_cit"),
+        F.when(wide, C("_at")).alias("_at"),
+        F.when(wide, C("_other.authors")).alias("_theirs"),
     )
 
 
+_MADE: WeakKeyDictionary[DataFrame, DataFrame] = WeakKeyDictionary()
+_MAKING = Lock()
+
+
+def citations(docs: DataFrame) -> DataFrame:
+    """The edges, made once for the same documents however many tables read them.
+
+    Few works are wide; only their references to works that are there bring the cited
+    authors back to the citing document, whose own list is read once.
+    """
+    with _MAKING:
+        if docs not in _MADE:
+            _MADE[docs] = durable(edges(docs))
+        made = _MADE[docs]
+    plain = ["citing_work_id", "reference_seq", "cited_work_id", "pub_year", "cit_window", "is_self_cit"]
+    ids = _author_ids()
+    wide = docs.where(F.size(ids) > WIDE).select(C("_ord").alias("_at"), ids.alias("_ours"))
+    tested = made.where(C("_theirs").isNotNull()).join(wide, "_at").withColumn("is_self_cit", F.arrays_overlap("_ours", "_theirs"))
+    return made.where(C("_theirs").isNull()).select(plain).unionByName(tested.select(plain))
+
+
 @table(
     "citation", "works",
     "citing_work_id bigint not null, reference_seq int not null, cited_work_id bigint, pub_year smallint, "

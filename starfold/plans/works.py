@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed import ARXIV, CROSSREF, DATACITE, DOAJ, PUBMED, SHORT_ID
 from ..functions import text as X
-from ..functions.arrays import let, not_null, numbered, text_from_positions, where_present
+from ..functions.arrays import let, not_null, numbered, text_from_positions, where_present, with_places
 from ..operators.catalogue import Catalogue, Feed
 from ..operators.first_wins import first_wins, place
 from ..sources.documents import LOCATION
@@ -380,8 +382,8 @@ def work_author_affiliation(docs: DataFrame, _catalogue: Catalogue) -> DataFrame
         F.transform(C("authorships"), affiliation_texts),
         lambda texts: let(
             F.array_distinct(F.flatten(texts)),
-            lambda known: F.transform(
-                texts, lambda own: F.transform(own, lambda t: F.array_position(known, t))
+            lambda known: with_places(
+                known, lambda place: F.transform(texts, lambda own: F.transform(own, place))
             ),
         ),
     )
@@ -407,34 +409,39 @@ def affiliation_institutions(authorships: Column) -> Column:
     adds the new ones among its explicit links; only when it has no new one does
     it fall back to its institutions, paired with its texts by place (the last
     text serving the rest) or, without texts, with their own names.  Links are
-    short texts while folding, so that membership tests hash.
+    held in pieces by affiliation: a step searches the pieces its links belong to,
+    and all links of an affiliation stand in one piece, in order.  They are held as
+    one number each, which Spark passes on without copying it, unlike texts and structs.
     """
-    empty = F.array().cast("array<string>")
+    empty, no_links, held_type = F.array().cast("array<string>"), F.array().cast("array<struct<affiliation: bigint, held: decimal(38,0)>>"), "decimal(38,0)"
+    pieces = F.when(F.size(authorships) <= 64, F.lit(1)).otherwise(F.ceil(F.sqrt(F.size(authorships))).cast("int"))
 
-    def link(known: Column, label: Column, institution: Column) -> Column:
-        return let(
-            F.array_position(known, label),
-            lambda n: F.when(n > 0, F.concat(n.cast("string"), F.lit(":"), X.id_number(institution).cast("string"))),
-        )
+    def piece(link: Column) -> Column:
+        return F.pmod(link["affiliation"], pieces).cast("int")
 
-    def explicit(known: Column, a: Column) -> Column:
+    def link(place: Callable[[Column], Column], label: Column, institution: Column) -> Column:
+        number = X.id_number(institution).cast("decimal(19,0)")
+        both = let(place(label), lambda n: F.struct(n.alias("affiliation"), (n.cast("decimal(10,0)") * F.lit("1" + "0" * 19).cast("decimal(20,0)") + number).cast(held_type).alias("held")))
+        return let(both, lambda b: F.when((b["affiliation"] > 0) & b["held"].isNotNull(), b))
+
+    def explicit(place: Callable[[Column], Column], a: Column) -> Column:
         return F.flatten(
             F.transform(
                 a["affiliations"],
                 lambda f: let(
                     X.spaced_once(f["raw_affiliation_string"]),
                     lambda label: F.transform(
-                        F.coalesce(f["institution_ids"], empty), lambda i: link(known, label, i)
+                        F.coalesce(f["institution_ids"], empty), lambda i: link(place, label, i)
                     ),
                 ),
             )
         )
 
-    def implied(known: Column, a: Column, texts: Column) -> Column:
+    def implied(place: Callable[[Column], Column], a: Column, texts: Column) -> Column:
         return F.transform(
             a["institutions"],
             lambda s, i: link(
-                known,
+                place,
                 F.when(F.size(texts) == 0, X.filled(s["display_name"])).otherwise(
                     F.get(texts, F.least(i, F.size(texts) - 1))
                 ),
@@ -442,52 +449,68 @@ def affiliation_institutions(authorships: Column) -> Column:
             ),
         )
 
-    def fold(texts: Column, known: Column) -> Column:
+    def fold(texts: Column, place: Callable[[Column], Column]) -> Column:
         pairs = F.zip_with(authorships, texts, lambda a, own: F.struct(a.alias("a"), own.alias("texts")))
 
         def step(found: Column, pair: Column) -> Column:
             def new(links: Column) -> Column:
-                return F.array_except(not_null(F.coalesce(links, empty)), found)
+                distinct = F.array_distinct(not_null(F.coalesce(links, no_links)))
+                return F.filter(distinct, lambda l: ~F.array_contains(F.get(found, piece(l)), l["held"]))
+
+            def added(fresh: Column) -> Column:
+                return F.when(F.size(fresh) == 0, found).otherwise(
+                    F.transform(
+                        found,
+                        lambda held, i: F.when(
+                            F.exists(fresh, lambda l: piece(l) == i),
+                            F.concat(held, F.transform(F.filter(fresh, lambda l: piece(l) == i), lambda l: l["held"])),
+                        ).otherwise(held),
+                    )
+                )
 
             # The implied links are worked out only where they are needed.
             return let(
-                new(explicit(known, pair["a"])),
-                lambda fresh: F.concat(
-                    found,
-                    F.when(F.size(fresh) > 0, fresh).otherwise(new(implied(known, pair["a"], pair["texts"]))),
+                let(
+                    new(explicit(place, pair["a"])),
+                    lambda fresh: F.when(F.size(fresh) > 0, fresh).otherwise(new(implied(place, pair["a"], pair["texts"]))),
                 ),
+                added,
             )
 
-        return F.aggregate(pairs, empty, step)
-
-    links = let(
-        F.transform(authorships, affiliation_texts),
-        lambda texts: let(F.array_distinct(F.flatten(texts)), lambda known: fold(texts, known)),
-    )
-    parted = F.transform(
-        links,
-        lambda l, i: F.struct(
-            F.substring_index(l, ":", 1).cast("bigint").alias("affiliation_seq"),
-            i.alias("_at"),
-            F.substring_index(l, ":", -1).cast("bigint").alias("institution_id"),
-        ),
-    )
-    # Sorted by affiliation, the number of a link is its distance from the
-    # affiliation's first link.
-    return let(
-        F.sort_array(parted),
-        lambda s: let(
-            F.transform(s, lambda e: e["affiliation_seq"]),
-            lambda numbers: F.transform(
-                s,
-                lambda e, i: F.struct(
-                    e["affiliation_seq"].alias("affiliation_seq"),
-                    (i - F.array_position(numbers, e["affiliation_seq"]) + 2).alias("institution_seq"),
-                    e["institution_id"].alias("institution_id"),
+        return F.aggregate(pairs, F.transform(F.sequence(F.lit(1), pieces), lambda _: F.array().cast(f"array<{held_type}>")), step)
+
+    def numbered_links(links: Column) -> Column:
+        """Sorted by affiliation, the number of a link is its distance from the
+        affiliation's first link."""
+        placed = F.transform(
+            links,
+            lambda l, i: let(
+                l.cast("string"),
+                lambda t: F.struct(
+                    F.substring(t, F.lit(1), F.length(t) - 19).cast("bigint").alias("n"), i.alias("i"), F.right(t, F.lit(19)).cast("bigint").alias("institution"),
                 ),
             ),
-        ),
+        )
+        return let(
+            F.sort_array(placed),
+            lambda s: let(
+                F.transform(s, lambda e: e["n"]),
+                lambda ns: F.transform(
+                    s,
+                    lambda e, i: F.struct(
+                        e["n"].alias("affiliation_seq"),
+                        (i - F.array_position(ns, e["n"]) + 2).alias("institution_seq"),
+                        e["institution"].alias("institution_id"),
+                    ),
+                ),
+            ),
+        )
+
+    found = let(
+        F.transform(authorships, affiliation_texts),
+        lambda texts: let(F.array_distinct(F.flatten(texts)), lambda known: with_places(known, lambda place: fold(texts, place))),
     )
+    return F.flatten(F.transform(found, numbered_links))
 
 
 @table(

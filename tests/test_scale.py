@@ -1,13 +1,15 @@
 """Plans that must hold when the data is a thousand times larger."""
 
 import contextlib
+import time
 
 from pyspark.sql import functions as F
 
 from starfold.operators.catalogue import Catalogue
 from starfold.operators.dense_ids import dense_ids
 from starfold.operators.first_wins import first_wins
-from starfold.plans.derived import citations
+from starfold.plans import derived
+from starfold.plans.derived import citations, edges
 from starfold.plans.registry import build
 from starfold.session import durable
 from starfold.sources.documents import documents
@@ -55,13 +57,13 @@ def works(spark, n):
 
 def test_a_work_cited_very_often_is_split(spark):
     docs = works(spark, 4000)
-    plain = sorted(citations(docs).collect())
+    plain = sorted(map(tuple, citations(docs).collect()))
     with settings(spark, **TINY):
-        split = citations(docs)
-        assert sorted(split.collect()) == plain
+        split = edges(docs)
+        assert sorted(tuple(r)[:6] for r in split.collect()) == plain
         assert "skew=true" in final_plan(split)
     assert len(plain) == 12000
-    assert sum(r["is_self_cit"] or False for r in plain if r["cited_work_id"] == 1) == 80
+    assert sum(r[5] or False for r in plain if r[2] == 1) == 80
 
 
 def test_a_hot_value_is_split_in_lookups(spark):
@@ -102,3 +104,67 @@ def test_staged_documents_are_read_by_nested_columns(spark, docs_of):
     docs = durable(docs_of("works", {"id": "W1", "concepts": [{"id": "C1"}], "title": "t"}))
     plan = final_plan(build("work_concept", {"works": docs}, None))
     assert "concepts" in plan.split("ReadSchema")[1] and "title" not in plan.split("ReadSchema")[1]
+
+
+def test_two_tables_read_one_table_of_edges(spark, monkeypatch):
+    docs, made = works(spark, 200), []
+    monkeypatch.setattr(derived, "edges", lambda d: made.append(1) or edges(d))
+    assert citations(docs).count() == 600 and citations(docs).where("is_self_cit").count() > 0
+    assert made == [1]
+    citations(works(spark, 10)).count()
+    assert made == [1, 1]
+
+
+def test_wide_works_cite_as_others_do(spark, docs_of, monkeypatch):
+    def work(i, authors, cited):
+        return {"id": f"W{i}", "publication_year": 2000 + i, "authorships": [{"author": {"id": f"A{a}"}} for a in authors], "referenced_works": [f"W{c}" for c in cited]}
+
+    docs = docs_of(
+        "works", work(1, range(100), [2, 3, 4, 5, 99]), work(2, [50, 500], [1, 2, 4]), work(3, [700], [1]), work(4, range(90, 300), [1, 4, 3]), work(5, [], [1]),
+        work(1, [700], [3]),  # delivered again, with another author
+    )
+    rows = sorted(map(tuple, citations(durable(docs)).collect()), key=str)
+    monkeypatch.setattr(derived, "WIDE", 10**6)
+    assert rows == sorted(map(tuple, citations(durable(docs)).collect()), key=str)
+    selves = {(r[0], r[2], r[5]) for r in rows}
+    assert (1, 2, True) in selves and (1, 3, False) in selves and (1, 3, True) in selves and (4, 1, True) in selves and (1, 5, False) in selves and (1, 99, None) in selves
+
+
+def links_plainly(authorships):
+    """T14 and T15 with dictionaries."""
+    known, places, found = {}, [], {}
+    for i, a in enumerate(authorships, 1):
+        for t in a["raw_affiliation_strings"]:
+            places.append((1, i, known.setdefault(t, len(known) + 1)))
+    for a in authorships:
+        def add(pairs):
+            new = [(known[t], int(x[1:])) for t, x in pairs if t in known and int(x[1:]) not in found.get(known[t], [])]
+            for n, x in dict.fromkeys(new):
+                found.setdefault(n, []).append(x)
+            return bool(new)
+
+        texts = a["raw_affiliation_strings"]
+        if not add([(f["raw_affiliation_string"], x) for f in a["affiliations"] for x in f["institution_ids"]]) and texts:
+            add([(texts[min(i, len(texts) - 1)], s["id"]) for i, s in enumerate(a["institutions"])])
+    return places, [(1, n, i, x) for n, xs in found.items() for i, x in enumerate(xs, 1)]
+
+
+def test_a_work_with_thousands_of_authors(spark, docs_of):
+    def authorships(n):
+        made = []
+        for i in range(n):
+            texts = [f"Department {i % (n // 2)}, University {i * 7 % n}", f"Institute {i % (n // 3)}"]
+            listed = [{"raw_affiliation_string": t, "institution_ids": [f"I{(i + k) % n}", f"I{i % 9}"]} for k, t in enumerate(texts)] if i % 3 else []
+            made.append({"raw_affiliation_strings": texts, "affiliations": listed, "institutions": [{"id": f"I{i % n}"}, {"id": f"I{i * 5 % n}"}]})
+        return made
+
+    seconds = {}
+    for n in (60, 66, 1250, 5000):
+        docs = durable(docs_of("works", {"id": "W1", "authorships": authorships(n)}))
+        began = time.time()
+        places = sorted(map(tuple, build("work_author_affiliation", {"works": docs}, None).collect()))
+        links = sorted(map(tuple, build("work_affiliation_institution", {"works": docs}, None).collect()))
+        seconds[n] = time.time() - began
+        wanted_places, wanted_links = links_plainly(authorships(n))
+        assert places == sorted(wanted_places) and links == sorted(wanted_links)
+    assert seconds[5000] < 60 and seconds[5000] < 10 * seconds[1250]
