@@ -97,10 +97,15 @@ def histogram(encoded: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1, np.int64)
         for batch in batches:
-            for raw in batch.column(0):
-                found = np.bincount(_plain(raw.as_py()))
-                total = np.pad(total, (0, max(0, len(found) - len(total))))
-                total[:len(found)] += found
+            some, size = [], 0
+            for i, raw in enumerate(batch.column(0)):
+                some.append(_plain(raw.as_py()))
+                size += len(some[-1])
+                if size > 1 << 20 or i == len(batch) - 1:
+                    found = np.bincount(np.concatenate(some))
+                    total = np.pad(total, (0, max(0, len(found) - len(total))))
+                    total[:len(found)] += found
+                    some, size = [], 0
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], names=["id", "n"])
 

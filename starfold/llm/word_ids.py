@@ -3,9 +3,8 @@
 The library merges slowly but treats every stretch between white space on its own. Texts
 are cut at blanks; a plain word (printable ASCII and the letters of Latin-1, which
 normalisation leaves alone but for case) is cut further by the tokenizer's own pattern.
-Distinct pieces are given to the library once, many at a time, and words and pieces are
-remembered by the worker process from task to task. Other words go to the library as they
-are.
+Each distinct piece is merged once by the library's model; words and pieces are remembered
+by the worker process from task to task. Other words go to the library as they are.
 """
 
 from __future__ import annotations
@@ -38,64 +37,63 @@ def slices(text: str, chars: int = 1 << 18) -> Iterator[str]:
     yield text[at:]
 
 
-class Memory:
-    """Values by key in two generations of ``limit``; one in use moves to the younger."""
+class Memory(dict):
+    """The younger of two generations of ``limit`` values; one in use moves to it."""
 
     def __init__(self, limit: int):
-        self.limit, self.young, self.old = limit, {}, {}
+        super().__init__()
+        self.limit, self.old = limit, {}
 
-    def __len__(self) -> int:
-        return len(self.young) + len(self.old)
-
-    def add(self, values: dict[str, bytes]) -> None:
-        if len(self.young) + len(values) > self.limit:
-            self.old, self.young = self.young, {}
-        self.young.update(values)
-
-    def split(self, keys: set[str]) -> tuple[dict[str, bytes], list[str]]:
-        """What is known of ``keys``, and those that are not known."""
-        known = {k: v for k in keys if (v := self.young.get(k) or self.old.get(k)) is not None}
-        return known, [k for k in keys if k not in known]
+    def put(self, key: str, value: bytes) -> None:
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
 
 
 class WordIds:
     """Ids as little-endian 32-bit integers."""
 
-    def __init__(self, path: str, limit: int = 250_000):
+    def __init__(self, path: str, words: int = 400_000, pieces: int = 300_000):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
-        self.tokenizer, self.words, self.pieces = Tokenizer.from_file(path), Memory(limit), Memory(limit)
+        self.tokenizer, self.words, self.pieces = Tokenizer.from_file(path), Memory(words), Memory(pieces)
         shape = json.loads(self.tokenizer.to_str())
         steps = (shape["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
         forms = [n.get("type") for n in (shape["normalizer"] or {}).get("normalizers", [])]
         self.added = [a["content"] for a in shape["added_tokens"]]
-        known_form = steps[0].get("pattern", {}).get("Regex") == PATTERN and forms == ["NFC", "Replace", "Lowercase"]
+        known_form = steps[0].get("pattern", {}).get("Regex") == PATTERN and steps[1].get("type") == "ByteLevel" and forms == ["NFC", "Replace", "Lowercase"]
         self.by_word = known_form and not any(" " in a or "\n" in a for a in self.added)
+        self.merge = self.tokenizer.model.tokenize
+        # How the library shows the bytes of a letter to its model.
+        shown = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.shown = {c: shown.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
 
     def library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def of_pieces(self, pieces: set[str]) -> dict[str, bytes]:
-        known, asked = self.pieces.split(pieces)
-        for i in range(0, len(asked), 10_000):
-            some = asked[i:i + 10_000]
-            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            # Every piece is one word of the joined text; its tokens stand together.
-            ids, ends = np.array(found.ids, "<u4").tobytes(), (4 * np.cumsum(np.bincount(np.array(found.word_ids, np.int64), minlength=len(some)))).tolist()
-            new = {p: ids[a:b] for p, a, b in zip(some, [0, *ends], ends)}
-            self.pieces.add(new)
-            known.update(new)
-        return known
-
-    def of_words(self, words: set[str]) -> dict[str, bytes]:
-        known, asked = self.words.split(words)
-        cut = {w: _PIECES.findall(w.lower()) for w in asked if _PLAIN.fullmatch(w) and not any(a in w for a in self.added)}
-        pieces = self.of_pieces({p for parts in cut.values() for p in parts})
-        new = {w: b"".join(map(pieces.__getitem__, parts)) for w, parts in cut.items()}
-        new.update((w, self.library(w)) for w in asked if w not in cut)
-        self.words.add(new)
-        known.update(new)
-        return known
+    def piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            ids = self.pieces.old.get(piece)
+            if ids is None:
+                merged = self.merge(piece if piece.isascii() else piece.translate(self.shown))
+                ids = b"".join([t.id.to_bytes(4, "little") for t in merged])
+            self.pieces.put(piece, ids)
+        return ids
+
+    def word(self, word: str) -> bytes:
+        ids = self.words.old.get(word)
+        if ids is None:
+            if word.isascii() and word.isalpha():
+                ids = self.piece(word.lower())
+            elif _PLAIN.fullmatch(word) and not any(a in word for a in self.added):
+                ids = b"".join(map(self.piece, _PIECES.findall(word.lower())))
+            else:
+                ids = self.library(word)
+        self.words.put(word, ids)
+        return ids
 
     def encoded(self, text: str) -> Iterator[bytes]:
         """Ids of ``text``, slice by slice."""
@@ -104,10 +102,9 @@ class WordIds:
             return
         for part in slices(text):
             words = part.replace("\n", " ").split(" ")
-            found = list(map(self.words.young.get, words))
-            if None in found:
-                new = self.of_words({w for w, ids in zip(words, found) if ids is None})
-                found = [new[w] if ids is None else ids for w, ids in zip(words, found)]
+            found = list(map(self.words.get, words))
+            for i in [i for i, ids in enumerate(found) if ids is None]:
+                found[i] = self.words.get(words[i]) or self.word(words[i])
             yield b"".join(found)
 
 
