@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import known_small
+
 
 def null_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows in which a part of the key is missing."""
@@ -21,6 +23,15 @@ def repeated_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
+def of_repeated_documents(df: DataFrame, owner: str, repeated: DataFrame) -> DataFrame:
+    """Rows whose document was delivered more than once: all among which a key made of
+    the document and places in it can repeat.  The list of ids is broadcast only when
+    measured small."""
+    ids = repeated.withColumnRenamed(repeated.columns[0], owner)
+    small = ids.count() * 16 <= known_small(df.sparkSession)
+    return df.join(F.broadcast(ids) if small else ids, owner, "left_semi")
+
+
 def column_problems(df: DataFrame, columns: Sequence) -> DataFrame:
     """``(column_name, problem, n)`` for texts longer than declared, integers
     outside the declared range and nulls where none are allowed; one pass."""

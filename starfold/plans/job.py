@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.catalogue import Catalogue, collect, missing, values_of
-from ..operators.checks import column_problems, null_keys, repeated_keys
-from ..session import at_once
+from ..operators.checks import column_problems, null_keys, of_repeated_documents, repeated_keys
+from ..session import at_once, durable
 from ..sinks.delimited import save_catalogue, write_delimited
 from ..sources.catalogue_files import load_catalogue
 from ..sources.documents import all_documents, malformed
@@ -104,11 +104,22 @@ def uncatalogued(spark: SparkSession, docs: dict[str, DataFrame], catalogue: Cat
     return found
 
 
-def problems(name: str, table: DataFrame) -> DataFrame:
-    """C1, C2 for one output table: ``(table_name, column_name, problem, n)``."""
+def repeated_ids(docs: DataFrame) -> DataFrame:
+    """Ids of documents delivered more than once; eight bytes a document are shuffled."""
+    return durable(repeated_keys(docs.select("_id"), ["_id"]).select("_id"))
+
+
+def problems(name: str, table: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+    """C1, C2 for one output table: ``(table_name, column_name, problem, n)``.
+
+    With the ``repeated`` ids of the entity's documents, a table whose keys differ by
+    construction inside a document is grouped only where a document came twice.
+    """
     declared = TABLES[name]
     key = ",".join(declared.key)
     held = table.where(" and ".join(f"{k} is not null" for k in declared.key))
+    if repeated is not None and declared.placed:
+        held = of_repeated_documents(held, declared.key[0], repeated)
     counted = [
         null_keys(table, declared.key).agg(F.lit(key).alias("column_name"), F.lit("null key").alias("problem"), F.count(F.lit(1)).alias("n")),
         repeated_keys(held, declared.key).agg(F.lit(key).alias("column_name"), F.lit("repeated key").alias("problem"), F.count(F.lit(1)).alias("n")),
@@ -140,6 +151,7 @@ def run(spark: SparkSession, options: Options) -> dict[str, EntityReport]:
 
     # Enumerations are written whatever entities were asked for.
     names = [n for n, t in TABLES.items() if t.entity in docs or n in ENUMERATIONS]
+    repeated = dict(zip(docs, at_once(repeated_ids, docs.values(), options.tables_at_once))) if options.check else {}
 
     def write(name: str) -> None:
         table = catalogue.table(name) if name in ENUMERATIONS else build(name, docs, catalogue)
@@ -148,7 +160,7 @@ def run(spark: SparkSession, options: Options) -> dict[str, EntityReport]:
             made = f"{options.staging.rstrip('/')}/tables/{name}"
             table.write.mode("overwrite").parquet(made)
             table = spark.read.parquet(made)
-            problems(name, table).write.mode("overwrite").parquet(f"{checks}/tables/{name}")
+            problems(name, table, repeated[TABLES[name].entity]).write.mode("overwrite").parquet(f"{checks}/tables/{name}")
         write_delimited(table, f"{options.output.rstrip('/')}/{name}.csv", options.delimiter, options.encoding)
 
     at_once(write, names, options.tables_at_once)

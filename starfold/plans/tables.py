@@ -59,6 +59,14 @@ class Table:
     catalogues: tuple[str, ...] = ()
     # A key given here means that equal keys are merged, the first in scan order kept.
     shared: bool = False
+    # The numbers in the key may repeat inside one document.
+    repeats: bool = False
+
+    @property
+    def placed(self) -> bool:
+        """Keys are a document and places in it, which differ by construction: a key can
+        repeat only where a document was delivered twice."""
+        return not self.shared and not self.repeats and all(k.endswith("_seq") for k in self.key[1:])
 
 
 TABLES: dict[str, Table] = {}
@@ -72,11 +80,12 @@ def table(
     reads: str = "",
     catalogues: Sequence[str] = (),
     shared: bool = False,
+    repeats: bool = False,
 ) -> Callable[[Build], Build]:
     def add(build: Build) -> Build:
         TABLES[name] = Table(
             name, entity, output_columns(columns), tuple(key.split()), tuple(reads.split()),
-            build, tuple(catalogues), shared,
+            build, tuple(catalogues), shared, repeats,
         )
         return build
 

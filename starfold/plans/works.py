@@ -374,7 +374,7 @@ def work_author(docs: DataFrame, catalogue: Catalogue) -> DataFrame:
 @table(
     "work_author_affiliation", "works",
     f"{WORK_ID}, author_seq smallint not null, affiliation_seq smallint not null",
-    key="work_id author_seq affiliation_seq", reads="authorships",
+    key="work_id author_seq affiliation_seq", reads="authorships", repeats=True,
 )
 def work_author_affiliation(docs: DataFrame, _catalogue: Catalogue) -> DataFrame:
     """Repeated texts of an authorship give repeated rows (C2 reports them)."""

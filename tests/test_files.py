@@ -5,8 +5,10 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from starfold.operators.diff import MergeConflict, merge_outputs, table_diff
-from starfold.plans.job import EntityReport, Options, report_frame, run
+from starfold.operators.catalogue import collect
+from starfold.operators.diff import MergeConflict, fingerprint, merge_outputs, table_diff
+from starfold.plans.job import EntityReport, Options, problems, repeated_ids, report_frame, run
+from starfold.plans.registry import FEEDS, build
 from starfold.sinks.delimited import write_delimited
 from starfold.sources import snapshot as snapshot_source
 from starfold.sources.documents import documents, malformed
@@ -164,6 +166,34 @@ def test_diff_and_merge(spark):
     assert set(merged) == {"t", "r"} and ignored == [("r", "y")]
     with pytest.raises(MergeConflict):
         merge_outputs([("x", {"t": one}), ("y", {"t": other})], reference=["r"])
+    wide = one.select(F.col("k").cast("bigint").alias("k"), "v")
+    assert merge_outputs([("x", {"t": one}), ("y", {"t": wide}), ("z", {"t": one})], reference=[], exact=True)[1] == []
+
+
+def test_fingerprints(spark):
+    def of(*rows):
+        return fingerprint(spark.createDataFrame(rows, "a string, b string, c double"))
+
+    assert of(("x", None, 1.0), ("y", "z", 2.0)) == of(("y", "z", 2.0), ("x", None, 1.0))
+    differing = [of(("x", None, 1.0)), of((None, "x", 1.0)), of(("x", None, None)), of(("x", None, 1.0), ("x", None, 1.0)), of(("x", "", 1.0))]
+    assert len(set(differing)) == 5 and fingerprint(spark.createDataFrame([], "a int")) == (0, 0, 0)
+
+
+def test_repeated_keys_are_looked_for_in_repeated_documents(spark, docs_of):
+    def work(i, *authors):
+        return {"id": f"W{i}", "title": "t", "authorships": [{"raw_affiliation_strings": list(a)} for a in authors]}
+
+    once = docs_of("works", work(1, "ab", "a"), work(2, "aa"))
+    twice = docs_of("works", work(1, "ab"), work(2, "aa"), work(1, "c"))
+    for docs, wanted in (
+        (once, {"work": [], "work_author": [], "work_author_affiliation": [("repeated key", 1)]}),
+        (twice, {"work": [("repeated key", 1)], "work_author": [("repeated key", 1)], "work_author_affiliation": [("repeated key", 2)]}),
+    ):
+        catalogue = collect({"works": docs}, FEEDS)
+        for name, problems_of in wanted.items():
+            made = build(name, {"works": docs}, catalogue)
+            for repeated in (None, repeated_ids(docs)):
+                assert [(r["problem"], r["n"]) for r in problems(name, made, repeated).collect()] == problems_of, name
 
 
 def test_a_run(spark, snapshot, tmp_path):
