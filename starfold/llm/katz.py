@@ -45,7 +45,7 @@ from starfold.llm.counting import LOW, answered, pack, parts_of, small, unpack
 from starfold.llm.words import _MULTIPLIERS, mixed, word_hashes, words_of
 from starfold.session import durable
 
-BLOCK_TOKENS, PART_TOKENS = 2_500_000, 4_000_000
+BLOCK_TOKENS, PART_TOKENS = 1_500_000, 4_000_000
 K, TAIL = 5, 0.1
 END, START = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)  # hashes of the end token and of the first context
 
@@ -106,7 +106,7 @@ class Block:
 
     def contexts(self) -> np.ndarray:
         """Place of each token's context in the vocabulary; its length for the start."""
-        before = np.empty(len(self.word), np.int64)
+        before = np.empty(len(self.word), np.uint32)
         before[1:] = self.word[:-1]
         before[self.starts] = len(self.vocabulary)
         return before
@@ -205,7 +205,9 @@ def score(docs: DataFrame, *, block_tokens: int = BLOCK_TOKENS, part_tokens: int
         count = read(False, parts_of(b.vocabulary, parts))[0]
         keys, first, inverse = b.pairs()
         both, owned = read(True, parts_of(keys, parts))
-        context = b.contexts()
+        del keys
+        answers.drop(answers.index, inplace=True)  # what was read lies in the arrays
+        inverse, context = inverse.astype(np.uint32), b.contexts()
         after = np.append(count, train_texts)  # every training word is followed by one token
         lower = np.where(count > 0, discounted(count, word_kept) / max(total, 1), unknown)
         base = np.log10((count + 0.1) / (total + 0.1 * (types + 1)))

@@ -32,7 +32,7 @@ def frequencies(counts: np.ndarray, bits: int | None = None) -> tuple[np.ndarray
 class Coder:
     """Encoder and decoder for one table of frequencies."""
 
-    def __init__(self, scaled: np.ndarray, bits: int, lanes: int = 512, every: int = 128):
+    def __init__(self, scaled: np.ndarray, bits: int, lanes: int = 2048, every: int = 128):
         self.scaled, self.bits, self.lanes, self.every = scaled.astype(np.uint64), np.uint64(bits), lanes, every
         self.starts = np.concatenate([[0], np.cumsum(scaled)[:-1]]).astype(np.uint64)
         self.limits = self.scaled << np.uint64(63 - bits)

@@ -36,6 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,6 +52,8 @@ _BODY = struct.Struct("<IIIIHH")
 _PART = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("before", "<i8"), ("count", "<u4"), ("ends", "u1")])
 
 
+#: Bytes of text that are encoded at once.
+TOGETHER = 8 << 20
 _TOKENS = "doc_id long, hash long, row long, part int, ends boolean, ids binary"
 
 
@@ -59,25 +62,45 @@ def tokens(docs: DataFrame, tokenizer: str, end: int, row_tokens: int = 1 << 20)
     schema = pa.schema([("doc_id", pa.int64()), ("hash", pa.int64()), ("row", pa.int64()), ("part", pa.int32()), ("ends", pa.bool_()), ("ids", pa.binary())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, out, size, closing = word_ids(tokenizer), [], 0, np.array([end], "<u4").tobytes()
-        press = zstandard.ZstdCompressor(level=3).compress
+        words, out, size, closing = word_ids(tokenizer), [], 0, np.uint32(end)
+        press = zstandard.ZstdCompressor(level=1).compress
 
-        def put(doc: int | None, hashed: int | None, row: int, part: int, ends: bool, ids: bytes) -> None:
+        def put(at: tuple, part: int, ends: bool, ids: np.ndarray) -> None:
             nonlocal size
-            values = np.frombuffer(ids, "<u4")
-            wide = len(values) and int(values.max()) >> 16
-            out.append({"doc_id": doc, "hash": hashed, "row": row, "part": part, "ends": ends, "ids": b"\x04" + press(ids) if wide else b"\x02" + press(values.astype("<u2").tobytes())})
-            size += len(out[-1]["ids"])
+            if ends:
+                ids = np.append(ids, closing)
+            wide = len(ids) and int(ids.max()) >> 16
+            kept = b"\x04" + press(ids.astype("<u4")) if wide else b"\x02" + press(ids.astype("<u2"))
+            out.append(dict(zip(("doc_id", "hash", "row"), at, strict=True), part=part, ends=ends, ids=kept))
+            size += len(kept)
+
+        def long_text(at: tuple, text: str) -> None:
+            some, n, part = [], 0, 0
+            for ids in words.encoded(text):
+                some.append(ids)
+                n += len(ids)
+                if n >= row_tokens:
+                    put(at, part, False, np.concatenate(some))
+                    some, n, part = [], 0, part + 1
+            put(at, part, True, np.concatenate([*some, np.empty(0, "<u4")]))
 
         for batch in batches:
-            for doc, text, hashed, row in zip(*[batch.column(i).to_pylist() for i in range(4)], strict=True):
-                ids, part = bytearray(), 0
-                for some in words.encoded(text or ""):
-                    ids += some
-                    if len(ids) >= 4 * row_tokens:
-                        put(doc, hashed, row, part, False, bytes(ids))
-                        ids, part = bytearray(), part + 1
-                put(doc, hashed, row, part, True, bytes(ids) + closing)
+            places = list(zip(*[batch.column(i).to_pylist() for i in (0, 2, 3)], strict=True))
+            texts = pc.fill_null(batch.column(1), "")
+            lengths = pc.binary_length(texts).to_numpy()
+            low = 0
+            while low < len(texts):
+                # Neighbours up to some megabytes are encoded together, a longer text alone.
+                high = low + max(1, int(np.searchsorted(np.cumsum(lengths[low:]), TOGETHER, "right")))
+                if not words.by_word or lengths[low] > TOGETHER:
+                    for i in range(low, high):
+                        long_text(places[i], texts[i].as_py())
+                else:
+                    ids, counts = words.of_texts(texts.slice(low, high - low))
+                    ends = np.cumsum(counts)
+                    for i, a, b in zip(range(low, high), ends - counts, ends, strict=True):
+                        put(places[i], 0, True, ids[a:b])
+                low = high
                 if size > 8 << 20:
                     yield pa.RecordBatch.from_pylist(out, schema)
                     out, size = [], 0
@@ -153,7 +176,7 @@ def opened(raw: bytes, coder: Coder, table: int) -> tuple[int, int, np.ndarray,
     return piece, start, ids, listed
 
 
-def write(docs: DataFrame, folder: str, tokenizer: str, *, end: int = 1, block_tokens: int = 1 << 18, lanes: int = 512, every: int = 128) -> None:
+def write(docs: DataFrame, folder: str, tokenizer: str, *, end: int = 1, block_tokens: int = 1 << 20, lanes: int = 2048, every: int = 128) -> None:
     """Write the ids of ``docs`` (doc_id, text), each followed by ``end``, in the new ``folder``."""
     spark = docs.sparkSession
     encoded = durable(tokens(docs, tokenizer, end))

@@ -4,7 +4,8 @@ The library merges slowly but treats every stretch between white space on its ow
 are cut at blanks; a plain word (printable ASCII and the letters of Latin-1, which
 normalisation leaves alone but for case) is cut further by the tokenizer's own pattern.
 Each distinct piece is merged once by the library's model; words and pieces are remembered
-by the worker process from task to task. Other words go to the library as they are.
+by the worker process from task to task. Other words go to the library as they are. The
+words of many texts are made distinct by Arrow before they are looked up.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Fixed value: the pattern that cuts words in the vocabulary file.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -95,17 +98,33 @@ class WordIds:
         self.words.put(word, ids)
         return ids
 
-    def encoded(self, text: str) -> Iterator[bytes]:
-        """Ids of ``text``, slice by slice."""
+    def encoded(self, text: str) -> Iterator[np.ndarray]:
+        """Ids of one text of any length, slice by slice."""
         if not self.by_word:
-            yield self.library(text)
+            yield np.frombuffer(self.library(text), "<u4")
             return
         for part in slices(text):
-            words = part.replace("\n", " ").split(" ")
-            found = list(map(self.words.get, words))
-            for i in [i for i, ids in enumerate(found) if ids is None]:
-                found[i] = self.words.get(words[i]) or self.word(words[i])
-            yield b"".join(found)
+            yield self.of_texts(pa.array([part]))[0]
+
+    def of_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all ``texts``, one after another, and how many each has. Each distinct
+        word is looked up once; the rest is done on arrays."""
+        words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = words.flatten().dictionary_encode()
+        index = coded.indices.to_numpy()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = list(map(self.words.get, distinct))
+        for i in [i for i, ids in enumerate(known) if ids is None]:
+            known[i] = self.word(distinct[i])
+        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        ids = np.frombuffer(b"".join(known), "<u4")
+        each = size[index]
+        ends = np.cumsum(each)
+        # From the place of every word's ids to the places of all ids.
+        first = np.cumsum(size) - size
+        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[index] - (ends - each), each)
+        total = np.concatenate([[0], ends])[words.offsets.to_numpy() - words.offsets[0].as_py()]
+        return ids[places], np.diff(total)
 
 
 @lru_cache(2)

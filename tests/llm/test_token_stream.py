@@ -4,6 +4,7 @@ import uuid
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -33,15 +34,24 @@ ODD = st.lists(st.sampled_from(list("aBZéÉßİıſΣσς'sLl109²½.,!?|<>“
 @settings(max_examples=1500, deadline=None)
 @given(ODD)
 def test_words_as_the_library_has_them(text):
-    assert np.frombuffer(b"".join(WORDS.encoded(text)), "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+    assert np.concatenate(list(WORDS.encoded(text))).tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
 
 
 def test_slices_and_forgetting():
     words = WordIds(TOKENIZER, words=5, pieces=5)
     text = " ".join(f"word{i % 37}, Été" for i in range(200_000))
     assert len(text) > 2 << 20 and len(list(words.encoded(text))) > 2 and len(words.words) <= 5
-    assert np.frombuffer(b"".join(words.encoded(text)), "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
-    assert b"".join(words.encoded("x" * 3_000_000)) == WORDS.library("x" * 3_000_000)
+    assert np.concatenate(list(words.encoded(text))).tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+    assert np.concatenate(list(words.encoded("x" * 3_000_000))).tobytes() == words.library("x" * 3_000_000)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(ODD, max_size=6), st.integers(0, 3))
+def test_many_texts_at_once(texts, skipped):
+    array = pa.array(["skipped"] * skipped + texts, pa.string()).slice(skipped)
+    ids, counts = WORDS.of_texts(array)
+    wanted = [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids.tolist() == sum(wanted, []) and counts.tolist() == list(map(len, wanted))
 
 
 @pytest.mark.parametrize("n", [0, 1, 7, 8, 9, 1000, 20_000])
@@ -108,6 +118,16 @@ def test_nulls_repeats_and_documents_over_many_records(spark):
     assert places == sorted(places) and len(files) > 1
 
 
+def test_long_texts_lie_in_several_rows(spark, monkeypatch):
+    rows = [(1, "short"), (2, "Some long text. " * 400), (3, ""), (4, "tail")]
+    text = rows[1][1]
+    monkeypatch.setattr(token_stream, "TOGETHER", 100)
+    monkeypatch.setattr(token_stream.tokens, "__defaults__", (50,))
+    encoded = token_stream.tokens(frame(spark, rows), TOKENIZER, 1, 50)
+    assert encoded.where("doc_id = 2").count() >= 1 and len(ids_of(text)) > 1000
+    assert digests(spark, written(spark, frame(spark, rows), block_tokens=64, lanes=4, every=3)) == plain(rows)
+
+
 def test_files_cut_anywhere(spark):
     rows = [(i, f"Document {i}. " * (i % 50)) for i in range(300)]
     folder = written(spark, frame(spark, rows), block_tokens=100, lanes=4, every=3)
