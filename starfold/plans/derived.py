@@ -13,7 +13,7 @@ from ..functions.arrays import let, not_null, numbered
 from ..operators.catalogue import Catalogue
 from ..session import durable
 from .tables import table
-from .works import WORK_ID, author_name, location, title, work_doi
+from .works import WORK_ID, author_name, in_location, title, work_doi
 
 C = F.col
 
@@ -138,7 +138,7 @@ def work_detail(docs: DataFrame, _catalogue: Catalogue) -> DataFrame:
             F.filter(F.coalesce(_others(institutions), empty), lambda n: n != ""), "; "
         ).alias("institution_et_al"),
         title().alias("title"),
-        location(C("primary_location"))["source"]["display_name"].alias("source"),
+        in_location(C("primary_location"), "source.display_name").alias("source"),
         X.whole_of_json(C("publication_year")).alias("pub_year"),
         C("biblio.volume").alias("volume"),
         C("biblio.issue").alias("issue"),

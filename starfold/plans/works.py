@@ -12,7 +12,6 @@ from ..functions import text as X
 from ..functions.arrays import let, not_null, numbered, text_from_positions, where_present, with_places
 from ..operators.catalogue import Catalogue, Feed
 from ..operators.first_wins import first_wins, place
-from ..sources.documents import LOCATION
 from .tables import table
 
 C = F.col
@@ -63,17 +62,25 @@ def work_doi() -> Column:
     return X.doi(X.first_filled(C("ids.doi"), C("doi")))
 
 
-def location(raw: Column) -> Column:
-    return F.from_json(raw, LOCATION)
+def in_location(location: Column, path: str) -> Column:
+    """A text of a location, null where it is no object."""
+    return F.try_variant_get(location, f"$.{path}", "string")
+
+
+def compared(location: Column) -> Column:
+    """Equal locations have equal text, whatever the order of their keys; one that is
+    empty or absent equals an empty object."""
+    text = F.coalesce(F.to_json(location), F.lit("null"))
+    return let(text, lambda t: F.when(t.isin("null", "false", "0", '""', "[]"), "{}").otherwise(t))
 
 
 def data_sources() -> Column:
     """Names in the order tested."""
     agency = F.lower(X.filled(C("doi_registration_agency")))
 
-    def in_doaj(raw: Column) -> Column:
+    def in_doaj(location: Column) -> Column:
         # False, zero, null and absent say no.
-        listed = F.get_json_object(raw, "$.source.is_in_doaj")
+        listed = in_location(location, "source.is_in_doaj")
         return F.coalesce(~listed.isin("false", "0", ""), F.lit(False))
 
     def name_if(test: Column, name: str) -> Column:
@@ -100,9 +107,9 @@ FEEDS = (
     Feed("data_source", "works", ("ids", "doi_registration_agency", "best_oa_location", "primary_location"),
          data_sources),
     Feed("version", "works", ("locations",),
-         lambda: F.transform(_elements(C("locations")), lambda l: X.object_field(l, "version"))),
+         lambda: _elements(F.transform(C("locations"), lambda l: in_location(l, "version")))),
     Feed("license", "works", ("locations",),
-         lambda: F.transform(_elements(C("locations")), lambda l: X.object_field(l, "license"))),
+         lambda: _elements(F.transform(C("locations"), lambda l: in_location(l, "license")))),
     Feed("author_position", "works", ("authorships",),
          lambda: _elements(C("authorships.author_position"))),
     Feed("keyword", "works", ("keywords",),
@@ -136,7 +143,7 @@ FEEDS = (
 def work(docs: DataFrame, catalogue: Catalogue) -> DataFrame:
     rows = docs.select(
         _id(),
-        X.id_number(location(C("primary_location"))["source"]["id"]).alias("source_id"),
+        X.id_number(in_location(C("primary_location"), "source.id")).alias("source_id"),
         X.day(C("publication_date")).alias("pub_date"),
         X.whole_of_json(C("publication_year")).alias("pub_year"),
         C("biblio.volume").alias("volume"),
@@ -312,30 +319,25 @@ def work_mesh(docs: DataFrame, _catalogue: Catalogue) -> DataFrame:
     catalogues=("version", "license"),
 )
 def work_location(docs: DataFrame, catalogue: Catalogue) -> DataFrame:
-    nothing = F.lit("{}")
-    keep = [
-        _id(),
-        X.canonical_object(F.coalesce(C("primary_location"), nothing)).alias("_primary"),
-        X.canonical_object(F.coalesce(C("best_oa_location"), nothing)).alias("_best"),
-    ]
-
+    keep = [_id(), compared(C("primary_location")).alias("_primary"), compared(C("best_oa_location")).alias("_best")]
+    l = C("item")
     rows = numbered(docs, keep, C("locations"), "location_seq").select(
-        "work_id", "location_seq",
-        (X.canonical_object(C("item")) == C("_primary")).alias("is_primary_location"),
-        (X.canonical_object(C("item")) == C("_best")).alias("is_best_oa_location"),
-        location(C("item")).alias("l"),
+        "work_id", "location_seq", "_primary", "_best", F.to_json(l).alias("_text"),
+        in_location(l, "source.id").alias("_source"),
+        in_location(l, "landing_page_url").alias("landing_page_url"),
+        in_location(l, "pdf_url").alias("pdf_url"),
+        X.flag_of_json(F.try_variant_get(l, "$.is_oa", "variant")).alias("is_oa"),
+        in_location(l, "version").alias("_version"),
+        in_location(l, "license").alias("_license"),
     )
-    version = F.lower(F.coalesce(C("l.version"), F.lit("")))
+    version = F.lower(F.coalesce(C("_version"), F.lit("")))
     rows = rows.select(
-        "work_id", "location_seq", "is_primary_location", "is_best_oa_location",
-        X.id_number(C("l.source.id")).alias("source_id"),
-        C("l.landing_page_url").alias("landing_page_url"),
-        C("l.pdf_url").alias("pdf_url"),
-        X.flag_of_json(C("l.is_oa")).alias("is_oa"),
+        "work_id", "location_seq", "landing_page_url", "pdf_url", "is_oa", "_version", "_license",
+        (C("_text") == C("_primary")).alias("is_primary_location"),
+        (C("_text") == C("_best")).alias("is_best_oa_location"),
+        X.id_number(C("_source")).alias("source_id"),
         (version == "acceptedversion").alias("is_accepted"),
         (version == "publishedversion").alias("is_published"),
-        C("l.version").alias("_version"),
-        C("l.license").alias("_license"),
     )
     rows = catalogue.lookup(rows, "version", C("_version"), "version_id")
     return catalogue.lookup(rows, "license", C("_license"), "license_id")

@@ -72,8 +72,9 @@ def write_delimited(df: DataFrame, path: str, delimiter: str = "\t", encoding: s
     writer.option("encoding", encoding).csv(path)
 
 
-#: Beside the exported files: the catalogue itself, and the entities it was collected from.
-VALUES, ENTITIES_FED = "_values", "_entities"
+#: Beside the exported files: the catalogue itself.  Rows of the catalogue without a name
+#: are the entities it was collected from, so that both are replaced by one write.
+VALUES, ENTITIES_FED = "_values", ""
 
 
 def save_catalogue(catalogue: Catalogue, folder: str, entities: Iterable[str] = ()) -> None:
@@ -91,6 +92,6 @@ def save_catalogue(catalogue: Catalogue, folder: str, entities: Iterable[str] =
         writer.csv(f"{root}/{config.file_name}")
 
     at_once(save, CATALOGUES.values())
-    spark.createDataFrame([(e,) for e in entities], "entity string").write.mode("overwrite").parquet(f"{root}/{ENTITIES_FED}")
-    # Last, as its presence says that the catalogue is complete.
-    catalogue.assigned.select("catalogue", "value", "id").write.mode("overwrite").parquet(f"{root}/{VALUES}")
+    fed = spark.createDataFrame([(ENTITIES_FED, e, None) for e in entities], "catalogue string, value string, id bigint")
+    # Last, as its completion says that the catalogue is complete.
+    catalogue.assigned.select("catalogue", "value", "id").unionByName(fed).write.mode("overwrite").parquet(f"{root}/{VALUES}")

@@ -2,7 +2,7 @@
 
 Scalars are read as text, so a number where text was expected (or the reverse)
 never spoils a document; the operators cast.  Elements that may be an object or
-an id, and objects compared as a whole, stay JSON text.
+an id stay JSON text; locations, which are compared as a whole, are variants.
 
 A document is read in two steps.  Reading by its shape, in one go, does for all
 documents that have it.  Those with a field of another type (``[]`` for an empty
@@ -44,12 +44,6 @@ def _list(names: str, **nested: T.DataType) -> T.ArrayType:
 _DATED = "id display_name updated_date created_date "
 _PICTURED = _DATED + "image_url image_thumbnail_url "
 
-LOCATION = _fields(
-    "version license landing_page_url pdf_url",
-    **_scalars("is_oa"),
-    source=_fields("id display_name is_in_doaj"),
-)
-
 _APC = _fields("provenance currency", **_scalars("value value_usd"))
 _ROOT_LINK = _fields("id")
 _TOPIC_IDS = _fields("wikidata wikipedia")
@@ -57,14 +51,16 @@ _TOPIC_IDS = _fields("wikidata wikipedia")
 DOCUMENTS: dict[str, T.StructType] = {
     "works": _fields(
         _DATED + "type type_crossref title doi doi_registration_agency publication_date "
-        "language fulltext_origin primary_location best_oa_location",
+        "language fulltext_origin",
+        # Compared as a whole, and read by several tables: parsed once, when staged.
+        **_scalars("primary_location best_oa_location"),
         **_scalars("publication_year is_paratext is_retracted referenced_works_count cited_by_count"),
         ids=_fields("doi pmid pmcid arxiv", **_scalars("mag")),
         biblio=_fields("volume issue first_page last_page"),
         open_access=_fields("oa_status oa_url", **_scalars("is_oa any_repository_has_fulltext")),
         apc_list=_APC,
         apc_paid=_APC,
-        locations=TEXTS,
+        locations=T.ArrayType(T.VariantType()),
         abstract_inverted_index=T.MapType(TEXT, T.ArrayType(T.IntegerType())),
         concepts=_list("id score"),
         topics=_list("id score"),
@@ -154,7 +150,7 @@ DOCUMENTS: dict[str, T.StructType] = {
 
 _BAD = "_malformed"
 # Fields that are compared or read as JSON text; lists of texts keep objects that way too.
-_AS_JSON = {"primary_location", "best_oa_location", "last_known_institution", "last_known_institutions"}
+_AS_JSON = {"last_known_institution", "last_known_institutions"}
 # What a field of another type looks like once it is text.
 _NOT_TEXT = ("[]", "{}", "true", "false")
 

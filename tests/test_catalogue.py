@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from starfold.operators.catalogue import CATALOGUES, Catalogue, missing
 from starfold.operators.dense_ids import dense_ids
 from starfold.sinks.delimited import save_catalogue
+from starfold.sources import catalogue_files
 from starfold.sources.catalogue_files import load_catalogue
 
 
@@ -81,14 +82,41 @@ def test_saved_and_loaded(spark, tmp_path):
         assert part and open(f"{folder}/{c.file_name}/{sorted(part)[0]}").readline() == f"{c.id_column}\t{c.name}\n"
     loaded = load_catalogue(spark, folder)
     assert ids_of(loaded) == ids_of(catalogue) and loaded.entities == {"works", "authors"}
-    for name in ("_values", "_entities"):  # the exported files alone hold the same
-        os.rename(f"{folder}/{name}", f"{tmp_path}/{name}")
+    os.rename(f"{folder}/_values", f"{tmp_path}/_values")  # the exported files alone hold the same
     exported = load_catalogue(spark, folder)
     assert ids_of(exported) == ids_of(catalogue) and exported.entities is None
     os.rename(f"{folder}/region.csv", f"{folder}/elsewhere")
     assert load_catalogue(spark, folder) is None
 
 
+def test_a_broken_write_is_no_catalogue(spark, tmp_path):
+    folder = str(tmp_path / "ids")
+    save_catalogue(catalogue_of(spark, [("license", "a")]), folder, ["works"])
+    os.remove(f"{folder}/_values/_SUCCESS")
+    assert load_catalogue(spark, folder).entities is None  # only the exported files are left to read
+
+
+def test_foreign_files_are_read_in_shares(spark, tmp_path):
+    config = CATALOGUES["raw_author_name"]
+    path = str(tmp_path / config.file_name)
+    with open(path, "w") as f:
+        f.write("raw_author_name_id\traw_author_name\n" + "".join(f'{i}\tName "" {i % 700}\n' if i % 2 else f'{i}\t"Na ""me"" {i % 700}"\n' for i in range(2100)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        assert not catalogue_files.has_broken_lines(spark, path)
+        rows = catalogue_files._read(spark, path, config)
+        found = {r["value"]: r["id"] for r in rows.collect()}
+        assert len(found) == 700 and all(1400 <= i < 2100 for i in found.values())  # of repeated values the last counts
+        plain = spark.read.option("header", True).option("sep", "\t").option("escape", '"').csv(path)
+        assert plain.rdd.getNumPartitions() > 5
+        with open(path, "a") as f:
+            f.write('9999\t"two\nlines"\n')
+        assert catalogue_files.has_broken_lines(spark, path)
+        assert {r["value"]: r["id"] for r in catalogue_files._read(spark, path, config).collect()}["two\nlines"] == 9999
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_foreign_catalogue_files(spark, tmp_path):
     for c in CATALOGUES.values():
         text = f"{c.id_column},{c.name}\n"

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from starfold.fixed import ID_URL_PREFIX as URL
 from starfold.functions import arrays as A
 from starfold.functions import text as X
-from starfold.operators.catalogue import Catalogue, collect, missing
+from starfold.operators.catalogue import Catalogue, CatalogueConfig, collect, missing
 from starfold.operators.checks import column_problems, null_keys, repeated_keys
 from starfold.operators.dense_ids import dense_ids
 from starfold.operators.diff import merge_outputs, table_diff
@@ -25,7 +25,7 @@ from starfold.session import shared_folder, spread
 from starfold.sinks.delimited import formatted, save_catalogue, write_delimited
 from starfold.sources.catalogue_files import load_catalogue
 from starfold.sources.documents import documents, malformed
-from starfold.sources.snapshot import merged_ids, scan, without_merged
+from starfold.sources.snapshot import chosen_entities, merged_ids, scan, without_merged
 
 from .expected import collapsed, numbers
 
@@ -744,6 +744,53 @@ def scan_first_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_rows(scan(spark, root, "works", max_files=5))
 
 
+def two_entities(spark: SparkSession, sf_dir: str) -> str:
+    """Events as works and customers as authors, gzip JSON lines."""
+    root = fresh_folder(spark)
+    for entity, table, key in (("works", "events", "event_id"), ("authors", "customer", "c_custkey")):
+        lines = read(spark, sf_dir, table).select(F.to_json(F.struct(F.concat(F.lit("X"), key).alias("id"))).alias("value"), F.lit("2024-01-01").alias("updated_date"))
+        lines.write.option("compression", "gzip").partitionBy("updated_date").text(f"{root}/{entity}")
+    return root
+
+
+@query(
+    "q_missing_entity",
+    f"SELECT 'authors' AS entity, {BIG('count(*)')} AS n FROM customer UNION ALL SELECT 'topics', 0 UNION ALL SELECT 'works', {BIG('count(*)')} FROM events",
+)
+def missing_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An entity the snapshot lacks has no lines, and the others are read."""
+    root = two_entities(spark, sf_dir)
+    counts = [scan(spark, root, e).agg(F.lit(e).alias("entity"), F.count(F.lit(1)).alias("n")) for e in ("authors", "topics", "works")]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+@query(
+    "q_chosen_entities",
+    f"SELECT {BIG(0)} AS place, 'works' AS entity, count(*) AS read FROM events UNION ALL SELECT 1, 'authors', count(*) FROM customer",
+)
+def chosen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entities asked for more than once are read once, in the order asked for."""
+    root = two_entities(spark, sf_dir)
+    options = Options(root, f"{root}/out", f"{root}/ids", f"{root}/staged")
+    rows = [(i, e, stage(spark, options, e)[1].read) for i, e in enumerate(chosen_entities(["works", "authors", "works"]))]
+    return spark.createDataFrame(rows, "place bigint, entity string, read bigint")
+
+
+@query(
+    "q_enum_normaliser",
+    "SELECT c_custkey, id FROM customer JOIN "
+    f"{numbers('SELECT lower(substr(trim(c_mktsegment), 1, 1 + c_custkey % 3)) AS v FROM customer')} n ON n.v = lower(substr(trim(c_mktsegment), 1, 1 + c_custkey % 3))",
+)
+def enum_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An enumeration with a rule of its own for its values, numbered and looked up by it."""
+    config = CatalogueConfig("segment", "varchar(3)", normalise=lambda c: F.lower(X.strip(c)))
+    rows = read(spark, sf_dir, "customer").select(
+        "c_custkey", config.cleaned(F.concat(F.lit(" "), F.substring(X.strip(C("c_mktsegment")), F.lit(1), (1 + C("c_custkey") % 3).cast("int")))).alias("value")
+    )
+    ids, _ = dense_ids(rows.select(F.lit("segment").alias("catalogue"), "value").distinct())
+    return rows.join(ids, "value").select("c_custkey", "id")
+
+
 @query(
     "q_run_report",
     "SELECT 'works' AS entity, count(*) AS read, count(*) FILTER (WHERE event_id % 11 <> 0 AND event_id % 7 <> 0) AS processed, "
