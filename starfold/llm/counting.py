@@ -38,22 +38,36 @@ def answered(requests: DataFrame, width: int, levels: int) -> DataFrame:
     with each total up to ``levels``, of all keys with one, and the sum, of the part."""
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
-        raw = [unpack(k, "uint8").reshape(-1, width) for k in rows["keys"]]
-        keys = np.zeros((sum(map(len, raw)), 8), np.uint8)
-        keys[:, :width] = np.concatenate(raw)
-        found, first, inverse = np.unique(keys.view(np.uint64).ravel(), return_index=True, return_inverse=True)
-        ends = np.cumsum([len(r) for r in raw])
-        counts = []
-        for r, c in zip(raw, rows["counts"], strict=True):
+        # Lists and arrays are let go as soon as they are used: a part is as large as memory allows.
+        sizes, keys = [], []
+        for k in rows.pop("keys"):
+            raw = unpack(k, "uint8").reshape(-1, width)
+            wide = np.zeros((len(raw), 8), np.uint8)
+            wide[:, :width] = raw
+            keys.append(wide.view(np.uint64).ravel())
+            sizes.append(len(raw))
+        keys = np.concatenate(keys)
+        counts = np.empty(len(keys), np.uint64)
+        ends = np.cumsum(sizes)
+        for n, e, c in zip(sizes, ends, rows.pop("counts"), strict=True):
             plain = zstandard.decompress(bytes(c))
-            counts.append(np.frombuffer(plain, f"u{len(plain) // len(r)}").astype(np.float64))
-        totals = np.bincount(inverse, np.concatenate(counts), len(found)).astype(np.uint64)
-        owner = np.zeros(len(inverse), bool)
-        owner[first] = True
+            counts[e - n:e] = np.frombuffer(plain, f"u{len(plain) // n}")
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        new = np.concatenate([[True], keys[1:] != keys[:-1]])
+        del keys
+        first = np.flatnonzero(new)
+        totals = np.add.reduceat(counts[order], first)
+        del counts
+        owner = np.zeros(len(order), bool)
+        owner[order[first]] = True
+        found = np.empty(len(order), np.min_scalar_type(int(totals.max(initial=0))))
+        found[order] = np.repeat(totals.astype(found.dtype), np.diff(np.append(first, len(order))))
+        del order, new
         of_counts = np.bincount(np.minimum(totals, levels + 1).astype(np.int64), minlength=levels + 2)
         out = [
-            {"block": b, "part": int(p), "totals": pack(small(totals[inverse[e - len(r):e]])), "owned": pack(np.packbits(owner[e - len(r):e])), "stats": None}
-            for b, p, r, e in zip(rows["block"], rows["part"], raw, ends, strict=True)
+            {"block": b, "part": int(p), "totals": pack(small(found[e - n:e])), "owned": pack(np.packbits(owner[e - n:e])), "stats": None}
+            for b, p, n, e in zip(rows["block"], rows["part"], sizes, ends, strict=True)
         ]
         stats = [*of_counts[1:levels + 1].tolist(), int((totals > 0).sum()), int(totals.sum())]
         out.append({"block": None, "part": int(rows["part"].iloc[0]), "totals": b"", "owned": b"", "stats": stats})
