@@ -17,8 +17,8 @@ marker; the mask is chosen so that the marker does not occur in a record. Spark'
 text writer commits the files, so a lost executor leaves none behind, and its reader may
 cut a file at any byte: every task decodes the records that begin in its share.
 
-Texts are encoded once, to compressed ids in the shared folder. One pass over those counts
-ids for the table (a vocabulary's worth of counts per task), one sorts, codes and writes.
+Texts are encoded once, to compressed ids in the shared folder, with a vocabulary's worth of
+counts per task for the table; a second pass sorts, codes and writes.
 
 Defined cases: a null text is empty and has the end id alone; a null id sorts first; rows
 that repeat an id are ordered by a hash of their text (equal rows are interchangeable) and
@@ -58,31 +58,47 @@ _TOKENS = "doc_id long, hash long, row long, part int, ends boolean, ids binary"
 
 
 def tokens(docs: DataFrame, tokenizer: str, end: int, row_tokens: int = 1 << 20) -> DataFrame:
-    """Compressed ids of ``docs`` (doc_id, text), a row for every ``row_tokens`` or so of a document."""
-    schema = pa.schema([("doc_id", pa.int64()), ("hash", pa.int64()), ("row", pa.int64()), ("part", pa.int32()), ("ends", pa.bool_()), ("ids", pa.binary())])
+    """Compressed ids of ``docs`` (doc_id, text), a row for every ``row_tokens`` or so of a
+    document; and per task a row with part -1 that counts the ids it has met."""
+    names = ["doc_id", "hash", "row", "part", "ends", "ids"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary()]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, out, size, closing = word_ids(tokenizer), [], 0, np.uint32(end)
+        words, out, size, met = word_ids(tokenizer), [], 0, np.zeros(end + 1, np.int64)
         press = zstandard.ZstdCompressor(level=1).compress
+        kind = "<u2" if max(words.tokenizer.get_vocab_size(), end + 1) <= 1 << 16 else "<u4"
+        mark = bytes([int(kind[2])])
+
+        def count(ids: np.ndarray) -> None:
+            nonlocal met
+            found = np.bincount(ids, minlength=len(met))
+            found[:len(met)] += met
+            met = found
 
         def put(at: tuple, part: int, ends: bool, ids: np.ndarray) -> None:
             nonlocal size
-            if ends:
-                ids = np.append(ids, closing)
-            wide = len(ids) and int(ids.max()) >> 16
-            kept = b"\x04" + press(ids.astype("<u4")) if wide else b"\x02" + press(ids.astype("<u2"))
-            out.append(dict(zip(("doc_id", "hash", "row"), at, strict=True), part=part, ends=ends, ids=kept))
+            kept = mark + press(ids)
+            out.append((*at, part, ends, kept))
             size += len(kept)
 
+        def made() -> pa.RecordBatch:
+            nonlocal out, size
+            columns = zip(*out, strict=True) if out else [[]] * len(names)
+            ready = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+            out, size = [], 0
+            return ready
+
         def long_text(at: tuple, text: str) -> None:
             some, n, part = [], 0, 0
             for ids in words.encoded(text):
-                some.append(ids)
+                some.append(ids.astype(kind))
+                count(ids)
                 n += len(ids)
                 if n >= row_tokens:
                     put(at, part, False, np.concatenate(some))
                     some, n, part = [], 0, part + 1
-            put(at, part, True, np.concatenate([*some, np.empty(0, "<u4")]))
+            put(at, part, True, np.concatenate([*some, np.array([end], kind)]))
+            met[end] += 1
 
         for batch in batches:
             places = list(zip(*[batch.column(i).to_pylist() for i in (0, 2, 3)], strict=True))
@@ -97,14 +113,16 @@ def tokens(docs: DataFrame, tokenizer: str, end: int, row_tokens: int = 1 << 20)
                         long_text(places[i], texts[i].as_py())
                 else:
                     ids, counts = words.of_texts(texts.slice(low, high - low))
-                    ends = np.cumsum(counts)
-                    for i, a, b in zip(range(low, high), ends - counts, ends, strict=True):
-                        put(places[i], 0, True, ids[a:b])
+                    count(ids)
+                    met[end] += len(counts)
+                    ids, ends = np.insert(ids.astype(kind), np.cumsum(counts), end), np.cumsum(counts + 1)
+                    for at, a, b in zip(places[low:high], (ends - counts - 1).tolist(), ends.tolist(), strict=True):
+                        put(at, 0, True, ids[a:b])
                 low = high
                 if size > 8 << 20:
-                    yield pa.RecordBatch.from_pylist(out, schema)
-                    out, size = [], 0
-        yield pa.RecordBatch.from_pylist(out, schema)
+                    yield made()
+        out.append((None, None, None, -1, True, b"\x08" + press(met)))
+        yield made()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("row"))
     return rows.mapInArrow(encode, _TOKENS)
@@ -118,21 +136,13 @@ def histogram(encoded: DataFrame) -> np.ndarray:
     """How often each id occurs; as long as the vocabulary."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1, np.int64)
         for batch in batches:
-            some, size = [], 0
-            for i, raw in enumerate(batch.column(0)):
-                some.append(_plain(raw.as_py()))
-                size += len(some[-1])
-                if size > 1 << 20 or i == len(batch) - 1:
-                    found = np.bincount(np.concatenate(some))
-                    total = np.pad(total, (0, max(0, len(found) - len(total))))
-                    total[:len(found)] += found
-                    some, size = [], 0
-        ids = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], names=["id", "n"])
-
-    rows = encoded.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+            for raw in batch.column(0):
+                met = _plain(raw.as_py())
+                ids = np.flatnonzero(met)
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(met[ids], pa.int64())], names=["id", "n"])
+
+    rows = encoded.where("part < 0").select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max((r["id"] for r in rows), default=0) + 1, np.int64)
     for r in rows:  # one row per id of the vocabulary
         counts[r["id"]] = r["n"]
@@ -222,7 +232,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, *, end: int = 1, block_t
 
     order = ["doc_id", "hash", "row"]
     pieces = max(spark.sparkContext.defaultParallelism, docs.rdd.getNumPartitions())
-    sorted_rows = encoded.repartitionByRange(pieces, *order).sortWithinPartitions(*order, "part").select("doc_id", "ends", "ids")
+    sorted_rows = encoded.where("part >= 0").repartitionByRange(pieces, *order).sortWithinPartitions(*order, "part").select("doc_id", "ends", "ids")
     sorted_rows.mapInArrow(pack, "value binary").select(F.col("value").cast("string")).write.option("lineSep", MARKER).text(f"{folder}/blocks")
 
     sizes = _records(spark, folder).select(_number(1, 4).alias("piece"), _number(13, 4).alias("n")).groupBy("piece").agg(F.sum("n").alias("n"))

@@ -57,7 +57,7 @@ class Memory(dict):
 class WordIds:
     """Ids as little-endian 32-bit integers."""
 
-    def __init__(self, path: str, words: int = 400_000, pieces: int = 300_000):
+    def __init__(self, path: str, words: int = 400_000, pieces: int = 400_000):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
@@ -90,7 +90,8 @@ class WordIds:
         ids = self.words.old.get(word)
         if ids is None:
             if word.isascii() and word.isalpha():
-                ids = self.piece(word.lower())
+                low = word.lower()
+                ids = self.piece(word if low == word else low)  # one key for both memories
             elif _PLAIN.fullmatch(word) and not any(a in word for a in self.added):
                 ids = b"".join(map(self.piece, _PIECES.findall(word.lower())))
             else:

@@ -124,7 +124,7 @@ def test_long_texts_lie_in_several_rows(spark, monkeypatch):
     monkeypatch.setattr(token_stream, "TOGETHER", 100)
     monkeypatch.setattr(token_stream.tokens, "__defaults__", (50,))
     encoded = token_stream.tokens(frame(spark, rows), TOKENIZER, 1, 50)
-    assert encoded.where("doc_id = 2").count() >= 1 and len(ids_of(text)) > 1000
+    assert encoded.where("doc_id = 2").count() > 1 and len(ids_of(text)) > 1000
     assert digests(spark, written(spark, frame(spark, rows), block_tokens=64, lanes=4, every=3)) == plain(rows)
 
 
