@@ -123,7 +123,8 @@ def asked(packed: DataFrame, pairs: bool, parts: int) -> DataFrame:
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for row in batch.to_dict("records"):
+            for i in range(len(batch)):
+                row = batch.iloc[i].to_dict()
                 b = Block(row)
                 keys, inverse = (b.vocabulary, b.word) if not pairs else b.pairs()[::2]
                 counts = np.bincount(inverse, b.training(), len(keys)).astype(np.uint64)
@@ -159,9 +160,23 @@ def discounted(counts: np.ndarray, kept: np.ndarray) -> np.ndarray:
     return np.where(counts > K, counts - TAIL, counts * kept[np.minimum(counts, K).astype(np.int64)])
 
 
-def score(docs: DataFrame, *, block_tokens: int = BLOCK_TOKENS, part_tokens: int = PART_TOKENS) -> DataFrame:
+#: Rows that Spark hands to a Python worker at once; whole texts and packed blocks are long.
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def score(docs: DataFrame, *, block_tokens: int = BLOCK_TOKENS, part_tokens: int = PART_TOKENS, batch_rows: int = 500) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every
     row of ``docs`` (doc_id, text, held); rows that are held train nothing."""
+    conf = docs.sparkSession.conf
+    before = conf.get(BATCH_ROWS)
+    conf.set(BATCH_ROWS, str(batch_rows))
+    try:  # all stages in Python are written down before this returns
+        return _score(docs, block_tokens, part_tokens)
+    finally:
+        conf.set(BATCH_ROWS, before)
+
+
+def _score(docs: DataFrame, block_tokens: int, part_tokens: int) -> DataFrame:
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce("held", F.lit(True)).alias("held"))
     packed = durable(blocks(narrow, block_tokens))
 
