@@ -97,3 +97,105 @@ def test_nothing_to_learn_from(spark):
     n, known, trained, base, score = found[held_out]
     assert (n, known, trained) == (3, 0, 0) and score == base
     assert scored(spark, [])[1] == []
+
+
+def requests_of(keys_a_block, blocks, distinct, seed=5):
+    """Requests of one part, and the total of every key."""
+    import numpy as np
+    import pandas as pd
+
+    from starfold.llm.counting import pack, small
+
+    draw = np.random.default_rng(seed)
+    known = np.unique(draw.integers(0, 1 << 48, distinct, np.uint64))
+    out, all_of = [], Counter()
+    for i in range(blocks):
+        keys = np.sort(draw.choice(known, min(keys_a_block, len(known)), replace=False))
+        counts = draw.integers(0, 4 if i else 70_000, len(keys)).astype(np.uint64)
+        all_of.update(dict(zip(keys.tolist(), counts.tolist(), strict=True)))
+        low = np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8)[:, :6]
+        out.append({"part": 3, "block": f"b{i}", "keys": pack(low.T), "counts": pack(small(counts)), "plain": keys})
+    return pd.DataFrame(out), all_of
+
+
+def test_a_part_adds_up_slice_by_slice():
+    import numpy as np
+
+    from starfold.llm.counting import added, unpack
+
+    requests, all_of = requests_of(500, 7, 900)
+    for slice_keys in (10**6, 300, 1):
+        answers = added(requests.drop(columns="plain"), 6, 6, slice_keys)
+        owners = Counter()
+        for (_, r), (_, a) in zip(requests.iterrows(), answers.iterrows(), strict=False):
+            plain = unpack(a["totals"], "uint8")
+            totals = plain.view(f"u{len(plain) // len(r['plain'])}")
+            assert a["block"] == r["block"] and totals.tolist() == [all_of[k] for k in r["plain"].tolist()]
+            own = np.unpackbits(unpack(a["owned"], "uint8"), count=len(totals)).astype(bool)
+            owners.update(r["plain"][own].tolist())
+        assert set(owners) == set(all_of) and set(owners.values()) == {1}
+        of = Counter(all_of.values())
+        last = answers.iloc[-1]
+        assert last["block"] is None
+        assert last["stats"] == [*(of[c] for c in range(1, 7)), sum(v > 0 for v in all_of.values()), sum(all_of.values())]
+
+
+def peak_of(act):
+    import tracemalloc
+
+    tracemalloc.start()
+    try:
+        act()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_part_takes_little_memory_a_key():
+    from starfold.llm.counting import added
+
+    requests, _ = requests_of(60_000, 10, 200_000)
+    rows = requests.drop(columns="plain")
+    assert peak_of(lambda: added(rows, 6, 6, 1 << 15)) < 28 * 600_000
+
+
+def test_a_block_is_short_and_pairs_take_little_memory():
+    import numpy as np
+
+    from starfold.llm.counting import pack
+
+    draw = np.random.default_rng(5)
+    n = 200_000
+    codes = np.minimum(draw.zipf(1.3, n), 20_000).astype(np.uint32) - np.uint32(1)
+    assert (katz.unplaned(katz.planes(codes).ravel()) == codes).all()
+    assert len(pack(katz.planes(codes))) < 0.8 * len(pack(codes))
+    vocabulary = np.sort(draw.integers(0, 1 << 63, 20_000, np.uint64))
+    lengths = np.full(100, n // 100)
+    b = katz.Block({
+        "ids": pack(np.arange(100)), "named": pack(np.ones(100, bool)), "held": pack(np.zeros(100, bool)), "lengths": pack(lengths),
+        "vocabulary": pack(vocabulary), "order": pack(np.arange(20_000, dtype=np.uint32)), "codes": pack(katz.planes(codes)),
+    })
+    found = []
+    assert peak_of(lambda: found.extend(b.pairs())) < 45 * n
+    keys, first, inverse = found
+    pairs = list(zip(b.contexts().tolist(), b.word.tolist(), strict=True))
+    assert len(set(pairs)) == len(keys) and (np.diff(keys.astype(object)) > 0).all()
+    assert all(pairs[first[i]] == p for i, p in zip(inverse, pairs, strict=True))
+
+
+def test_keys_of_a_part_keep_order_and_pack_well():
+    import numpy as np
+
+    from starfold.llm.counting import pack, parts_of, six_bytes
+
+    keys = np.unique(np.random.default_rng(5).integers(0, 1 << 64, 200_000, np.uint64))
+    for parts in (1, 3, 34, 70_000):
+        low, edges = six_bytes(keys, parts), parts_of(keys, parts)
+        wide = np.zeros((len(low), 8), np.uint8)
+        wide[:, :6] = low
+        within = wide.view(np.uint64).ravel()
+        for i, j in zip(edges[:-1], edges[1:], strict=True):
+            steps = within[i:j].tolist()
+            assert min(steps[1:], default=1) > 0 and sum(steps) < 1 << 48
+    low = six_bytes(keys, 8)[:parts_of(keys, 8)[1]]
+    assert len(pack(low.T)) < 0.8 * low.size
