@@ -199,12 +199,16 @@ class Rates:
         return {d: (w, r) for d, w, r in zip(DOMAINS, self.wanted, self.reached) if abs(w - r) > by}
 
     def rate(self, posteriors: list[str], start: str = "1.0D", since: int = 0) -> str:
-        """The rate as SQL over the names of the posteriors, from ``start`` after ``since`` steps."""
-        step, r = 1 / (1 + self.ridge), start
-        for pull in self.pulls[since:]:
-            along = " + ".join(f"`{p}` * {c!r}D" for p, c in zip(posteriors, pull, strict=True))
-            r = f"least(greatest({r} * {1 - step * self.ridge!r}D + {step * self.ridge!r}D - {step!r}D * ({along}), 0.0D), {float(self.most)!r}D)"
-        return r
+        """The rate as SQL over the names of the posteriors, from ``start`` after ``since`` steps.
+        The steps are a fold over a list of their pulls: plan and code stay as small after many
+        steps as after one, and steps share their code."""
+        step, pulls = 1 / (1 + self.ridge), self.pulls[since:]
+        if not pulls:
+            return start
+        listed = ", ".join(f"array({', '.join(f'{c!r}D' for c in pull)})" for pull in pulls)
+        along = " + ".join(f"`{p}` * pull[{k}]" for k, p in enumerate(posteriors))
+        one = f"least(greatest(so_far * {1 - step * self.ridge!r}D + {step * self.ridge!r}D - {step!r}D * ({along}), 0.0D), {float(self.most)!r}D)"
+        return f"aggregate(array({listed}), {start}, (so_far, pull) -> {one})"
 
 
 def fit(rows: DataFrame, targets: dict[str, float], ridge: float = 1e-3, most: float = 4.0, steps: int = 40, close: float = 1e-5, keep: int = 8, of_kept: bool = False) -> Rates:

@@ -102,3 +102,27 @@ def test_kept_tokens_have_the_weights(spark):
         reached = np.array(mixing.fit(rows, mixing.TARGETS, most=most, of_kept=True).reached)
         assert np.allclose(reached / reached.sum(), [mixing.TARGETS[d] for d in mixing.DOMAINS], atol=2e-3)
         assert abs(reached.sum() - kept) < 5e-3
+
+
+def test_many_steps_are_one_small_expression(spark):
+    """Forty steps give the rates of a plain loop, to the last bit, and one step's worth of plan."""
+    pulls = tuple(tuple(float(x) for x in row) for row in np.random.default_rng(3).normal(0, 0.3, (40, 3)))
+    posteriors = [(0.7, 0.2, 0.1), (0.0, 1.0, 0.0), (0.05, 0.05, 0.9)]
+    rates = mixing.Rates(pulls, 1e-3, 1.5)
+    rows = spark.createDataFrame(posteriors, "clean double, poor double, toxic double")
+
+    def plain(p, r, since):
+        step = 1 / (1 + rates.ridge)
+        for a, b, c in pulls[since:]:
+            r = min(max(r * (1 - step * rates.ridge) + step * rates.ridge - step * (p[0] * a + p[1] * b + p[2] * c), 0.0), rates.most)
+        return r
+
+    for start, since in (("1.0D", 0), ("0.5D", 33), ("0.5D", 40)):
+        found = {(r.clean, r.poor): r.rate for r in rows.selectExpr("*", f"{rates.rate(list(mixing.DOMAINS), start, since)} as rate").collect()}
+        assert found == {p[:2]: plain(p, float(start[:-1]), since) for p in posteriors}
+
+    def size(k):
+        several = mixing.Rates(pulls[:k], 1e-3, 1.5).rate(list(mixing.DOMAINS))
+        return rows.selectExpr(several)._jdf.queryExecution().analyzed().expressions().apply(0).toString().count("least(")
+
+    assert size(40) == size(2)
